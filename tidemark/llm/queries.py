@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
+from tidemark.llm import bpe, pii, simhash
 from tidemark.llm.common import table
 
 
@@ -14,7 +14,17 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_spans(table(spark, sf_dir, "documents"))
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_query(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_pii_spans": op4_pii_spans,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
