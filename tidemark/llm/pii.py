@@ -150,16 +150,24 @@ _SPACED_SIGN = re.compile(r"\s@|@\s")
 _BEFORE_DOMAIN = re.compile(rf"\s(?:{_A})\s+[a-z0-9-]+\.[a-z0-9]")
 
 
+_BEYOND_LATIN = re.compile(r"[^\x00-\x9f\xa1-\xac\xae-\u024f]")
+_SPOKEN = frozenset([*DIGIT_WORDS, *DOT_WORDS])
+
+
+def lookalikes_in(text: str) -> bool:
+    return not text.isascii() and bool(_BEYOND_LATIN.search(text)) and not LOOKALIKES.keys().isdisjoint(set(text))
+
+
 def disguised(text: str) -> bool:
     """Whether a transducer may have something to write; cheap, as most texts have nothing disguised."""
-    if not text.isascii() and _LOOK.search(text):
+    if lookalikes_in(text):
         return True
     low = text.lower()
     if any(w in low for w in DOT_WORDS) and re.search(rf"\s(?:{_D})\s", low) or _IN_BRACKETS.search(low):
         return True
     if "@" in low and _SPACED_SIGN.search(low) or _BEFORE_DOMAIN.search(low):
         return True
-    return sum(map(DIGIT_WORDS.__contains__, low.replace(",", " ").replace("-", " ").split())) > 3
+    return b"\1\1\1\1" in bytes(map(_SPOKEN.__contains__, low.replace(",", " ").replace("-", " ").split()))
 
 
 class Tape:
@@ -231,7 +239,8 @@ def added(text: str, found: dict[str, list[Span]]) -> dict[str, list[Span]]:
     if not disguised(text):
         return {}
     tape = Tape(text)
-    tape.rewrite([(m.start(), m.end(), LOOKALIKES[m[0]]) for m in _LOOK.finditer(text)])
+    if lookalikes_in(text):
+        tape.rewrite([(m.start(), m.end(), LOOKALIKES[m[0]]) for m in _LOOK.finditer(text)])
     _fold_at_dot(tape)
     _fold_digits(tape)
     if tape.text == text:
