@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, pii, simhash
+from tidemark.llm import bpe, pii, simhash, toxicity
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"))
 
@@ -23,6 +27,7 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op4_pii_spans": op4_pii_spans,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
