@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, pii, simhash, toxicity
+from tidemark.llm import bpe, chat, licenses, mixing, pii, simhash, toxicity
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return chat.preferences(turns, chat.neighbours(turns))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -22,15 +27,30 @@ def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_query(spark, table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_preference_formatting": op2_preference_formatting,
     "op3_toxicity": op3_toxicity,
     "op4_pii_spans": op4_pii_spans,
+    "op5_mixing": op5_mixing,
+    "op6_license_scan": op6_license_scan,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_preference_formatting": chat.ORACLE,
+    "op5_mixing": mixing.ORACLE,
+    "op6_license_scan": licenses.ORACLE,
+}
