@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LONG_TEXT = 1 << 20  # characters; longer texts are worked through in steps
-REMEMBERED = 250_000  # entries of each of the two generations of pieces that a worker remembers; twice as many pairs
+REMEMBERED = 250_000  # entries of each of the two generations of pieces that a worker remembers; four times as many pairs
+BEGINNING = 7  # bytes of a piece whose table is kept for other pieces that begin alike
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,10 +41,12 @@ class PrefixEncoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {v: k for k, v in ranks.items()}
+        self.sizes = {v: len(k) for k, v in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
-        self.tails = {t[i:] for t in ranks for i in range(len(t))}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
+        self.tails = dict.fromkeys((t[i:] for t in ranks for i in range(len(t))), -1) | ranks  # ends of tokens; -1: no token itself
+        self._pairs: dict[int, bool] = {}
+        self._begun: dict[bytes, list[int]] = {}
+        self._spines: dict[tuple[int, int], list[tuple[bytes, int]] | None] = {}
 
     def _merged(self, data: bytes) -> list[bytes]:
         """The definition: merge the adjacent pair of lowest rank, leftmost first, until none is left."""
@@ -55,52 +58,103 @@ class PrefixEncoder:
             parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
         return parts
 
-    def stands(self, token: int) -> bool:
-        """Whether the token's bytes alone encode to the token."""
-        if token not in self._whole:
-            self._whole[token] = len(self._merged(self.tokens[token])) == 1
-        return self._whole[token]
+    def _spine(self, token: int, side: int) -> list[tuple[bytes, int]] | None:
+        """What stands at the left (0) or right (1) edge of a token while it is merged, each with the rank that consumes it.
+
+        None if the token's bytes don't encode to it, or its parts don't have lower ranks
+        (then order in time isn't order of rank).
+        """
+        if (token, side) in self._spines:
+            return self._spines[token, side]
+        data = self.tokens[token]
+        out: list[tuple[bytes, int]] | None = [(data, 1 << 60)]
+        while out and len(data) > 1:
+            rank = self.ranks[data]
+            parts = [data[i : i + 1] for i in range(len(data))]
+            while len(parts) > 2:
+                best = min((self.ranks.get(x + y, 1 << 60), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
+                if best[0] >= rank:
+                    break
+                parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+            if len(parts) != 2 or any(self.ranks.get(x, 1 << 60) >= rank for x in parts if len(x) > 1):
+                out = None
+                break
+            data = parts[side]
+            out.append((data, rank))
+        self._spines[token, side] = out
+        return out
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether the two tokens side by side are what their bytes encode to."""
-        found = self._pairs.get((left, right))
+        """Whether the two tokens side by side are what their bytes encode to; ``left`` -1: nothing stands before."""
+        key = (left + 1) << 32 | right
+        found = self._pairs.get(key)
         if found is None:
-            if len(self._pairs) >= 2 * REMEMBERED:
+            if len(self._pairs) >= 4 * REMEMBERED:
                 self._pairs.clear()
-            a, b = self.tokens[left], self.tokens[right]
-            found = self._pairs[left, right] = self._merged(a + b) == [a, b]
+            ends, starts = self._spine(left, 1) if left >= 0 else [], self._spine(right, 0)
+            if ends is None or starts is None:
+                both = [self.tokens[t] for t in (left, right) if t >= 0]
+                found = self._merged(b"".join(both)) == both
+            else:  # nothing may merge across the boundary before either side is consumed; of equal ranks the left one goes first
+                rank = self.ranks.get
+                found = not any((m := rank(x + y)) is not None and m < until_x and m <= until_y for x, until_x in ends for y, until_y in starts)
+            self._pairs[key] = found
         return found
 
     def extend(self, data: bytes, last: list[int], upto: int | None = None) -> None:
-        """Appends to ``last`` the last token of each prefix of ``data`` beyond ``len(last)``."""
-        for end in range(len(last) + 1, (upto or len(data)) + 1):
-            found, length, low = -1, 1, max(0, end - self.longest)
-            candidates = []
-            while end - length >= low and (tail := data[end - length : end]) in self.tails:
-                if tail in self.ranks:
-                    candidates.append(self.ranks[tail])
-                length += 1
-            for token in reversed(candidates):
-                start = end - len(self.tokens[token])
-                if self.stands(token) and (start == 0 or self.fits(last[start - 1], token)):
-                    found = token
+        """Appends to ``last`` the last token of each prefix of ``data`` beyond ``len(last)``.
+
+        One candidate always is valid, so the shortest needs no test once all others have failed.
+        """
+        ends_in, sizes, known = self.tails.get, self.sizes, self._pairs.get
+        for end in range(len(last) + 1, (len(data) if upto is None else upto) + 1):
+            length, candidates = 1, []
+            while length <= end:
+                token = ends_in(data[end - length : end])
+                if token is None:
                     break
-            if found < 0:
+                if token >= 0:
+                    candidates.append(token)
+                length += 1
+            if not candidates:
                 raise ValueError(f"no token ends at byte {end}: the ranks lack a byte")
-            last.append(found)
+            i = len(candidates) - 1
+            while i:
+                token = candidates[i]
+                start = end - sizes[token]
+                left = last[start - 1] if start else -1
+                fit = known((left + 1) << 32 | token)
+                if fit or fit is None and self.fits(left, token):
+                    break
+                i -= 1
+            last.append(candidates[i])
+
+    def start(self, data: bytes) -> list[int]:
+        """The table of a beginning of ``data`` that earlier pieces share, ready to be extended."""
+        if len(data) <= BEGINNING:
+            return []
+        head = data[:BEGINNING]
+        found = self._begun.get(head)
+        if found is None:
+            found = []
+            self.extend(head, found)
+            if len(self._begun) >= REMEMBERED:
+                self._begun.clear()
+            self._begun[head] = found
+        return found.copy()
 
     def read(self, last: list[int]) -> list[int]:
         out, end = [], len(last)
         while end:
             out.append(last[end - 1])
-            end -= len(self.tokens[last[end - 1]])
+            end -= self.sizes[last[end - 1]]
         return out[::-1]
 
     def piece(self, data: bytes) -> list[int]:
         """Token ids of one piece."""
         if (whole := self.ranks.get(data)) is not None:
             return [whole]
-        last: list[int] = []
+        last = self.start(data)
         self.extend(data, last)
         return self.read(last)
 
@@ -190,10 +244,15 @@ class TextCodec:
         return n, ids.hexdigest(), back.hexdigest()
 
 
-def _codec(held: list, ranks, pattern: str) -> TextCodec:
-    if not held:
-        held.append(TextCodec(ranks.value, pattern))
-    return held[0]
+_CODECS: dict[int, TextCodec] = {}  # one for each worker process, so that what it remembers outlives a task
+
+
+def _codec(ranks, pattern: str) -> TextCodec:
+    key = hash((pattern, frozenset(ranks.value.items())))
+    if key not in _CODECS:
+        _CODECS.clear()
+        _CODECS[key] = TextCodec(ranks.value, pattern)
+    return _CODECS[key]
 
 
 def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -206,9 +265,8 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
+        codec = _codec(ranks, pattern)
         for b in batches:
-            codec = _codec(held, ranks, pattern)
             found = [codec.digest(t.as_py() or "") for t in b.column(1)]
             n, ids, back = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -221,9 +279,8 @@ def bpe_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
+        codec = _codec(ranks, pattern)
         for b in batches:
-            codec = _codec(held, ranks, pattern)
             for k in range(0, b.num_rows, 200):
                 c = b.slice(k, 200)
                 yield pa.RecordBatch.from_arrays([c.column(0), pa.array([codec.encode(t.as_py() or "") for t in c.column(1)], pa.list_(pa.int32()))], ["doc_id", "ids"])
