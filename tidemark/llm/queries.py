@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, licenses, mixing, pii, simhash, toxicity
+from tidemark.llm import bpe, chat, lattice, licenses, mixing, pii, simhash, toxicity
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op1_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.lattice_links(table(spark, sf_dir, "embeddings"))
+
+
 def op2_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return chat.preferences(turns, chat.neighbours(turns))
@@ -40,6 +44,7 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lattice_near_dedup": op1_lattice_near_dedup,
     "op2_preference_formatting": op2_preference_formatting,
     "op3_toxicity": op3_toxicity,
     "op4_pii_spans": op4_pii_spans,
