@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, lattice, licenses, mixing, pii, simhash, toxicity
+from tidemark.llm import ann, bpe, chat, lattice, licenses, mixing, pii, simhash, toxicity
 from tidemark.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_query(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice_near_dedup": op1_lattice_near_dedup,
     "op2_preference_formatting": op2_preference_formatting,
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_scan": op6_license_scan,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_anisotropic_search": op9_anisotropic_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
