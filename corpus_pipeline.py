@@ -1,12 +1,55 @@
-"""A corpus pipeline of five stages; grows with the operators."""
+"""A training corpus from raw documents, in five stages.
+
+Toxic documents go, one document of each near-duplicate group stays, personal data is
+replaced, sources, languages and topics are brought to target weights by sampling, and
+what is left is encoded.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import bpe, mixing, pii, simhash, toxicity
+from tidemark.llm.common import shared_folder, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold; the trees learn from labels of the given documents."""
+    return toxicity.clean(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each SimHash group."""
+    return simhash.simhash_keep(docs)
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind in brackets; ``n_chars`` follows the text."""
+    return pii.pii_redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens meet the raked targets of source, language and topic."""
+    return mixing.sample(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return bpe.bpe_ids(docs, *bpe.default_ranks(), keep=("source", "lang"))
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [("toxicity", drop_toxic), ("simhash near-dedup", drop_near_copies), ("pii", redact_pii), ("mixing", mix), ("byte-level bpe", encode)]
+ORACLE_SQL = None  # toxicity, SimHash, PII and BPE can't be written in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written as Parquet to the shared folder and read again."""
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return docs

@@ -19,6 +19,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -274,18 +275,24 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(go, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def bpe_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``(doc_id, ids array<int>)``: the encoding itself."""
+def bpe_ids(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, *keep, n_tokens, ids array<int>)``: the encoding itself, with columns ``keep`` of ``docs``."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    names = ["doc_id", *keep, "n_tokens", "ids"]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks, pattern)
         for b in batches:
             for k in range(0, b.num_rows, 200):
                 c = b.slice(k, 200)
-                yield pa.RecordBatch.from_arrays([c.column(0), pa.array([codec.encode(t.as_py() or "") for t in c.column(1)], pa.list_(pa.int32()))], ["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(go, "doc_id long, ids array<int>")
+                ids = [np.concatenate([np.zeros(0, np.int32), *(np.fromstring(",".join([x[1] for x in found]), np.int32, sep=",") for found in codec.steps(t.as_py() or "") if found)]) for t in c.column(0)]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
+                yield pa.RecordBatch.from_arrays([*c.columns[1:], pa.array(np.diff(ends).astype(np.int64)), lists], names)
+
+    kept = docs.select("text", "doc_id", *keep)
+    kinds = {f.name: f.dataType.simpleString() for f in kept.schema}
+    return kept.mapInArrow(go, ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *keep)) + ", n_tokens long, ids array<int>")
 
 
 def bpe_decode(encoded: DataFrame, ranks_path: str) -> DataFrame:

@@ -15,16 +15,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder that all executors share and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; only where neither that
-    setting nor an earlier call has named one (tests) is a temporary folder used.
+    The cluster names it in ``spark.checkpoint.dir``; only where neither that setting nor
+    an earlier call has named one (tests) is a temporary folder used.
     """
-    spark = df.sparkSession
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
     sc = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and sc._jsc.sc().getCheckpointDir().isEmpty():
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -165,7 +165,15 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Da
     return docs.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+FEW_DROPPED = 500_000  # doc_ids whose list is broadcast, at most
+
+
 def simhash_keep(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The documents that are the smallest doc_id of their component, columns unchanged."""
-    c = simhash_components(docs.select("doc_id", "text"), shingle, radius).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(c, "doc_id", "left_semi").select(docs.columns)
+    """The documents that are the smallest doc_id of their component, columns unchanged.
+
+    Rows with a null doc_id stay, and so do repeated rows of a kept doc_id. Texts aren't
+    shuffled where few documents go.
+    """
+    gone = cut(simhash_components(docs.select("doc_id", "text"), shingle, radius).where("doc_id <> component_id").select("doc_id").distinct())
+    gone = F.broadcast(gone) if gone.count() <= FEW_DROPPED else gone
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
