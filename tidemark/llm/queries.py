@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, bpe, chat, lattice, licenses, mixing, pii, simhash, toxicity
+from tidemark.llm import ann, bpe, chat, lattice, licenses, mixing, pii, repeats, simhash, toxicity
 from tidemark.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op9_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice_near_dedup": op1_lattice_near_dedup,
     "op2_preference_formatting": op2_preference_formatting,
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_anisotropic_search": op9_anisotropic_search,
+    "op10_repeated_bytes": op10_repeated_bytes,
 }
 
 ORACLE_SQL: dict[str, str] = {
