@@ -33,7 +33,7 @@ SAMPLE = 20_000  # vectors that the index is fitted on, at most
 TRIED = 400  # queries of the sample that choose the number of probes
 AIM = 0.98  # recall within the sample
 CELLS = 1024  # coarse cells, at most
-SHARD = 20_000  # vectors of a shard
+SHARD, LEAST = 20_000, 2_048  # vectors of a shard, at most and at least: each shard answers each query that looks into it
 RERANK = 200  # vectors that a query reranks in a shard
 THRESHOLD = 0.2  # cosine from which a pair's score matters: weighs the parallel error
 SWEEPS, ROUNDS = 2, 6
@@ -258,7 +258,7 @@ def search(embeddings: DataFrame, every: int = 20, nearest: int = 20) -> DataFra
     size = {r["cell"]: r["count"] for r in cls.select("vec").mapInArrow(cell_of, "cell long").groupBy("cell").count().collect()}
     # Shards: small cells share one, a large cell has several.
     shards, room, sub = 0, 0, {c: [0] for c in range(len(made.centers))}
-    least = max(1, min(SHARD, math.ceil(total / parts(cls))))
+    least = max(LEAST, min(SHARD, math.ceil(total / parts(cls))))
     for c in sorted(size):
         if size[c] > SHARD:
             n = math.ceil(size[c] / SHARD)
