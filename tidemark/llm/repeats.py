@@ -352,6 +352,7 @@ class RunIndex:
         head = np.flatnonzero(np.append(True, before[1:] != before[:-1]))
         self.start, self.char = head, before[head].astype(np.int64)
         length = np.diff(np.append(head, n))
+        self.run_of = np.repeat(np.arange(len(head), dtype=np.int32), length)  # saves a search for every step
         self.first, self.last = order[head], order[np.append(head[1:], n) - 1]  # sampled suffixes at run ends
         count = np.bincount(before, minlength=256)
         below = np.cumsum(count) - count
@@ -375,25 +376,33 @@ class RunIndex:
         self.least = np.minimum.reduceat(owner, self.klass)
 
     def _suffixes(self) -> np.ndarray:
-        """Suffix order by prefix doubling from eight bytes."""
+        """Suffix order by prefix doubling from eight bytes; only suffixes that are still tied are sorted again."""
         n = self.n
         key = self.words[:n].byteswap()
-        order = np.argsort(key, kind="stable")
-        k = 8
+        order = np.argsort(key)
+        rank, k = np.empty(n, np.int64), 8
+        rank[order] = self._ranks(key[order], np.arange(n))
+        tied = np.arange(n)
         while True:
-            s = key[order]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.append(0, s[1:] != s[:-1]))
-            if rank[order[-1]] == n - 1:
+            r = rank[order[tied]]
+            same = np.append(r[1:] == r[:-1], False)
+            tied = tied[same | np.append(False, same[:-1])]
+            if not len(tied):
                 return order
-            if k >= n:
-                return np.lexsort((-np.arange(n), rank))
-            beyond = np.full(n, 0, np.int64)
-            beyond[: n - k] = rank[k:] + 1
-            key = (rank * (n + 1) + beyond).astype(np.uint64)
-            order = np.argsort(key, kind="stable")
+            some = order[tied]
+            beyond = np.where(some + k < n, rank[np.minimum(some + k, n - 1)] + 1, 0)
+            key = rank[some] * (n + 1) + beyond
+            o = np.argsort(key)
+            order[tied] = some = some[o]
+            rank[some] = self._ranks(key[o], tied)
             k *= 2
 
+    @staticmethod
+    def _ranks(sorted_keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For keys in order, that stand at places ``at``: the place of the first equal one."""
+        new = np.append(True, sorted_keys[1:] != sorted_keys[:-1])
+        return at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+
     def _common(self, at: np.ndarray, words: np.ndarray, p: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Bytes that the text from ``at`` and the pattern from ``p`` have in common, up to ``most``."""
         out = np.zeros(len(at), np.int64)
@@ -423,7 +432,7 @@ class RunIndex:
             who = by_size[:count]
             p = end[who] - step
             c = t[p]
-            run = np.searchsorted(self.start, q[who], "right") - 1
+            run = self.run_of[q[who]]
             goes = self.char[run] == c
             ok = who[goes]
             q[ok] = self.to[run[goes]] + q[ok] - self.start[run[goes]]
@@ -485,31 +494,42 @@ _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 _NAMES = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
-def removed(text: bytes, gone: dict[int, int]) -> np.ndarray:
-    """Which bytes of a text go; ``gone``: contexts and their windows that go, as bits."""
-    change = np.zeros(len(text) + 1, np.int32)
-    for _, off, buf, ends in _pieces([0], iter([text])):
-        doc, st, en, _, ctx, _, _ = contexts(buf, ends)
-        part = np.concatenate([[0], ends[:-1]])
-        for d, a, b, c in zip(doc.tolist(), st.tolist(), en.tolist(), ctx.tolist()):
-            if (bits := gone.get(c)) is None:
-                continue
-            a, b = (x - int(part[d]) + int(off[d]) for x in (a, b))
-            if bits == WHOLE:
-                change[a] += 1
-                change[b + LENGTH - 1] -= 1
-                continue
-            for w in range(b - a):
-                if bits >> w & 1:
-                    change[a + w] += 1
-                    change[a + w + LENGTH] -= 1
-    return np.cumsum(change[:-1]) > 0
+def _key(ids: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    return _mixed(ids.astype(np.int64).view(np.uint64), 0x9E3779B97F4A7C15) ^ ctx
 
 
-def _digest(text: bytes, gone: dict[int, int]) -> tuple[int, int, int, str]:
-    if not gone:
+class Gone:
+    """Windows that go, by document and context."""
+
+    def __init__(self, who: np.ndarray, ctx: np.ndarray, mask: np.ndarray):
+        key = _key(who, ctx)
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1])) if len(key) else np.zeros(0, np.int64)
+        self.key, self.who, self.ctx = key[order][first], who[order][first], ctx[order][first]
+        self.mask = np.bitwise_or.reduceat(mask[order], first) if len(key) else mask
+
+    def marks(self, ids: np.ndarray, buf: bytes, ends: np.ndarray) -> np.ndarray:
+        """Which bytes of documents side by side in ``buf`` go."""
+        change = np.zeros(len(buf) + LENGTH, np.int32)
+        doc, st, en, _, ctx, _, _ = contexts(buf, ends)
+        if len(doc) and len(self.key):
+            at = np.searchsorted(self.key, _key(ids[doc], ctx))
+            at = np.minimum(at, len(self.key) - 1)
+            hit = np.flatnonzero((self.who[at] == ids[doc]) & (self.ctx[at] == ctx))
+            bits = self.mask[at[hit]]
+            whole = hit[bits == WHOLE]
+            np.add.at(change, st[whole], 1)
+            np.add.at(change, en[whole] + LENGTH - 1, -1)
+            part, bits = hit[bits != WHOLE], bits[bits != WHOLE]
+            row, window = np.nonzero((bits[:, None] >> np.arange(LENGTH - GRAM + 1)) & 1)
+            np.add.at(change, st[part][row] + window, 1)
+            np.add.at(change, st[part][row] + window + LENGTH, -1)
+        return np.cumsum(change[: len(buf) - 64]) > 0
+
+
+def _digest(text: bytes, out: np.ndarray | None = None) -> tuple[int, int, int, str]:
+    if out is None or not out.any():
         return len(text), 0, 0, hashlib.sha256(text).hexdigest()
-    out = removed(text, gone)
     kept = np.frombuffer(text, np.uint8)[~out].tobytes()
     return len(text), int(out.sum()), int((out & ~np.append(False, out[:-1])).sum()), hashlib.sha256(kept).hexdigest()
 
@@ -519,21 +539,23 @@ def _results(rows: list, ids) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([ids, *(pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.string()]))], _NAMES)
 
 
-def _finish(known: list[np.ndarray], ids, texts) -> Iterator[pa.RecordBatch]:
-    who, ctx, mask = known
-    rows = []
-    for i, t in zip(ids.to_pylist(), texts):
-        gone: dict[int, int] = {}
-        for k in range(np.searchsorted(who, i), np.searchsorted(who, i, "right")):
-            c, bits = int(ctx[k]), int(mask[k])
-            gone[c] = WHOLE if WHOLE in (bits, gone.get(c)) else bits | gone.get(c, 0)
-        rows.append(_digest(_utf8(t), gone))
-    yield _results(rows, ids)
+def _finish(known: list, ids, texts) -> Iterator[pa.RecordBatch]:
+    if len(known) == 3:
+        known[:] = [Gone(*known)]
+    raw = [_utf8(t) for t in texts]
+    marks = [np.zeros(len(t), bool) for t in raw]
+    # Documents are named by their place here, as several rows may have one doc_id.
+    names = np.array(ids.to_pylist(), np.int64)
+    for place, off, buf, ends in _pieces(list(range(len(raw))), iter(raw)):
+        out = known[0].marks(names[place], buf, ends)
+        for k, lo, hi, o in zip(place.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), off.tolist()):
+            marks[k][o : o + hi - lo] |= out[lo:hi]
+    yield _results([_digest(t, m) for t, m in zip(raw, marks)], ids)
 
 
 def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield _results([_digest(_utf8(t), {}) for t in b.column(1)], b.column(0))
+        yield _results([_digest(_utf8(t)) for t in b.column(1)], b.column(0))
 
 
 def _names(blobs: DataFrame) -> DataFrame:
