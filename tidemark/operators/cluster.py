@@ -113,7 +113,7 @@ def clusters(df: DataFrame, key: str, vector: str, min_cluster: int = 15, min_sa
             pdf = pdf.sort_values(key)
             return pd.DataFrame({key: pdf[key].to_numpy(), "cluster": hdbscan(np.stack(pdf["v"].to_numpy()).astype(float), min_cluster, min_samples).astype("int32")})
 
-        return df.select(key, F.col(vector).alias("v")).groupBy(F.lit(0)).applyInPandas(go, f"{key} {kind}, cluster int")
+        return df.select(F.lit(0).alias("one"), key, F.col(vector).alias("v")).groupBy("one").applyInPandas(go, f"{key} {kind}, cluster int")
     from pyspark.ml.clustering import BisectingKMeans
     from pyspark.ml.functions import array_to_vector
 

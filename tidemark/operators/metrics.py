@@ -39,10 +39,10 @@ def auc(df: DataFrame, truth: str, score: str, keys: list[str] = []) -> DataFram
 
     Rows are summed to distinct scores first, so the running count is over these only.
     """
-    by = df.groupBy(*keys, score).agg(F.count("*").alias("n"), F.count_if(F.col(truth) == 1).alias("p"))
-    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(score)
-    mid = F.sum("n").over(w) - F.col("n") + (F.col("n") + 1) / 2
-    s = by.withColumn("_mid", mid).groupBy(*keys).agg(F.sum(F.col("_mid") * F.col("p")).alias("r"), F.sum("p").alias("np"), F.sum("n").alias("na"))
+    by = df.groupBy(*keys, F.col(score).alias("_score")).agg(F.count("*").alias("_n"), F.count_if(F.col(truth) == 1).alias("_p"))
+    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_score")
+    mid = F.sum("_n").over(w) - F.col("_n") + (F.col("_n") + 1) / 2
+    s = by.withColumn("_mid", mid).groupBy(*keys).agg(F.sum(F.col("_mid") * F.col("_p")).alias("r"), F.sum("_p").alias("np"), F.sum("_n").alias("na"))
     p, q = F.col("np"), F.col("na") - F.col("np")
     return s.select(*keys, F.try_divide(F.col("r") - p * (p + 1) / 2, (p * q).cast("double")).alias("roc_auc"))
 

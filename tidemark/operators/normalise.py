@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import distinct_list, is_boilerplate, joined, paragraphs, quotes, spaces, strip_html, text_of, words
+from tidemark.functions.text import distinct_list, is_boilerplate, joined, paragraphs, quotes, spaces, strip_html, strip_html_list, text_of, words
 
 TEXTS = ("title", "subtitle", "lead", "summary", "ai_summary", "author_name", "author_role", "main_section", "subsection", "breadcrumb_raw", "main_image_alt")
 LISTS = ("read_also_titles", "read_also_dates", "related_titles", "internal_subheadings", "also_interesting_titles", "featured_titles", "same_day_titles", "mentioned_documents_raw")
@@ -14,8 +14,8 @@ KEPT_FLAGS = ("is_opinion", "is_investigation", "is_economy_section", "is_nation
 
 def body(paragraphs_: Column, *sources: Column) -> Column:
     """Clean paragraphs; fewer than two give way to the first non-empty source split by lines if that has more."""
-    own = F.filter(distinct_list(paragraphs_), lambda x: ~is_boilerplate(x))
-    other = paragraphs(F.coalesce(*(F.nullif(s, F.lit("")) for s in sources), F.lit("")))
+    own = F.filter(distinct_list(strip_html_list(paragraphs_)), lambda x: ~is_boilerplate(x))
+    other = paragraphs(strip_html(F.coalesce(*(F.nullif(s, F.lit("")) for s in sources), F.lit(""))))
     return F.when((F.size(own) < 2) & (F.size(other) > F.size(own)), other).otherwise(own)
 
 
@@ -23,7 +23,7 @@ def normalised(df: DataFrame) -> DataFrame:
     """Text fields without markup, lists cleaned, body repaired, its counts worked out anew. Applying it again changes nothing."""
     have = set(df.columns)
     fix: dict[str, Column] = {c: strip_html(F.col(c)) for c in TEXTS if c in have}
-    fix |= {c: F.filter(distinct_list(F.col(c)), lambda x: ~is_boilerplate(x)) for c in LISTS if c in have}
+    fix |= {c: F.filter(distinct_list(strip_html_list(F.col(c))), lambda x: ~is_boilerplate(x)) for c in LISTS if c in have}
     df = df.withColumns(fix)
     col = lambda c: F.col(c) if c in have else F.lit("")
     own = F.col("paragraphs") if "paragraphs" in have else F.array().cast("array<string>")
@@ -55,5 +55,5 @@ def unified(df: DataFrame) -> DataFrame:
     joint = joined([strip_html(text_of(c)) if c in have else F.lit("") for c in ("title", "subtitle", "lead", "summary", "ai_summary", "body_text_clean")])
     cols = [strip_html(F.col(c)).alias(c) if c in have else F.lit("").alias(c) for c in text]
     cols += [F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in kept]
-    cols += [(distinct_list(F.col(c)) if c in have else F.array().cast("array<string>")).alias(c) for c in ("internal_subheadings", "related_titles")]
+    cols += [(distinct_list(strip_html_list(F.col(c))) if c in have else F.array().cast("array<string>")).alias(c) for c in ("internal_subheadings", "related_titles")]
     return df.select(*cols, joint.alias("classification_text")).withColumn("classification_text_length", F.length("classification_text"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +15,7 @@ COLUMNS = (
     "RUN_ADM NOM_ADM RUN_FM FECHA_INF MONEDA PARTICIPES_INST SERIE FONDO_PEN VALOR_CUOTA CUOTAS_APORTADAS CUOTAS_RESCATADAS CUOTAS_EN_CIRCULACION "
     "PATRIMONIO_NETO ACTIVO_TOT NUM_PARTICIPES REM_FIJA REM_VARIABLE GASTOS_AFECTOS GASTOS_NO_AFECTOS COMISION_INVERSION COMISION_RESCATE"
 ).split()
-NUMERIC = tuple("VALOR_CUOTA CUOTAS_APORTADAS CUOTAS_RESCATADAS CUOTAS_EN_CIRCULACION PATRIMONIO_NETO ACTIVO_TOT NUM_PARTICIPES".split())
+NUMERIC = tuple("CUOTAS_APORTADAS CUOTAS_RESCATADAS CUOTAS_EN_CIRCULACION PATRIMONIO_NETO ACTIVO_TOT NUM_PARTICIPES".split())
 
 
 def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -26,9 +26,9 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """
     names = [*COLUMNS, "file", "line"]
 
-    def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, content in zip(b["path"], b["content"]):
+            for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 try:
                     text = content.decode("utf-8-sig")
                 except UnicodeDecodeError:
@@ -36,17 +36,18 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
                 lines = text.splitlines()
                 head = [h.strip() for h in lines[0].split(";")] if lines else []
                 rows = [(k, r) for k, line in enumerate(lines[1:], 1) if line.strip() and len(r := line.split(";")) == len(head)]
-                out = pd.DataFrame([r for _, r in rows], columns=head, dtype="object").reindex(columns=COLUMNS)
-                out["file"], out["line"] = path, [k for k, _ in rows]
-                yield out[names]
+                place = {c: head.index(c) for c in COLUMNS if c in head}
+                cols = [pa.array([r[place[c]] for _, r in rows] if c in place else [None] * len(rows), pa.string()) for c in COLUMNS]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([path] * len(rows), pa.string()), pa.array([k for k, _ in rows], pa.int64())], names)
 
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return files.mapInPandas(go, ", ".join(f"{c} string" for c in COLUMNS) + ", file string, line long")
+    return files.mapInArrow(go, ", ".join(f"{c} string" for c in COLUMNS) + ", file string, line long")
 
 
 def typed(df: DataFrame) -> DataFrame:
     """Numbers by decimal point or comma, ``date`` from the report date; what isn't understood is null."""
-    return df.withColumns({c: to_number(c) for c in NUMERIC} | {"date": F.coalesce(F.try_to_timestamp("FECHA_INF", F.lit("yyyyMMdd")), F.try_to_timestamp("FECHA_INF", F.lit("yyyy-MM-dd"))).cast("date"), "valor_cuota": to_number("VALOR_CUOTA")})
+    df = df.withColumn("valor_cuota", to_number("VALOR_CUOTA"))  # takes the place of the written price
+    return df.withColumns({c: to_number(c) for c in NUMERIC} | {"date": F.coalesce(F.try_to_timestamp("FECHA_INF", F.lit("yyyyMMdd")), F.try_to_timestamp("FECHA_INF", F.lit("yyyy-MM-dd"))).cast("date")})
 
 
 def load(spark: SparkSession, paths: list[str], run_fm: str, preferred: list[str], start: object, end: object) -> DataFrame:
