@@ -112,7 +112,7 @@ def sample(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None, f
     p = F.broadcast(p) if p.count() <= FEW_CELLS else p
     mine = [*(F.coalesce(docs[d], F.lit("(none)")) for d in DIMS[:2]), topic_of(F.coalesce(docs["text"], F.lit("")))]
     on = [a == p[f"cell_{d}"] for a, d in zip(mine, DIMS)]
-    return docs.join(p, on).where(chance(docs["doc_id"]) < F.col("probability")).select(*(docs[c] for c in docs.columns))
+    return docs.join(p, on).where(chance(docs["doc_id"]) < p["probability"]).select(*(docs[c] for c in docs.columns))
 
 
 def _sql() -> str:

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -282,28 +283,30 @@ def _out(kind: int, bucket: int, blob: bytes) -> pa.RecordBatch:
 
 
 def _beside(kinds: list[tuple[type, int]], each):
-    """A ``mapInArrow`` function over rows ``bucket, blob, doc_id, text`` sorted by bucket with blobs first.
+    """A ``mapInArrow`` function over rows ``bucket, kind, blob`` sorted by bucket and kind: first what is known, then documents.
 
-    ``each`` gets what a bucket's blobs hold, sorted by document, and batches of documents.
+    ``each`` gets what a bucket's blobs hold, sorted by document, and doc_ids and texts.
     """
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs, known = None, [], None
+        unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            bucket = b.column(0).to_numpy()
-            is_doc = b.column(1).is_null().to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (is_doc[1:] != is_doc[:-1])))
-            for lo, hi in zip(edges, np.append(edges[1:], len(bucket))):
-                if bucket[lo] != now:
-                    now, blobs, known = bucket[lo], [], None
-                if not is_doc[lo]:
-                    blobs += b.column(1).slice(lo, hi - lo).to_pylist()
+            for bucket, kind, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                if bucket != now:
+                    now, blobs, known = bucket, [], None
+                if kind == 0:
+                    blobs.append(blob.as_py())
                     continue
                 if known is None:
                     known = _unpacked(blobs, kinds)
                     order = np.argsort(known[0], kind="stable")
                     known, blobs = [k[order] for k in known], []
-                yield from each(known, b.column(2).slice(lo, hi - lo), b.column(3).slice(lo, hi - lo))
+                raw = unpack.decompress(blob.as_py())
+                n = int(np.frombuffer(raw, np.int64, 1)[0])
+                ids, size = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int64, n, 8 + 8 * n)
+                ends = 8 + 16 * n + np.cumsum(size)
+                yield from each(known, ids, [raw[e - k : e] for e, k in zip(ends.tolist(), size.tolist())])
 
     return go
 
@@ -311,10 +314,10 @@ def _beside(kinds: list[tuple[type, int]], each):
 def _fetch(count: int):
     """Bytes of the contexts that shards asked for."""
 
-    def each(known: list[np.ndarray], ids, texts) -> Iterator[pa.RecordBatch]:
+    def each(known: list[np.ndarray], ids: np.ndarray, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         who, wanted, shard = known
         got: dict[int, list[tuple[int, int, bytes]]] = {}
-        for names, _, buf, ends in _pieces(ids.to_pylist(), map(_utf8, texts)):
+        for names, _, buf, ends in _pieces(ids.tolist(), iter(texts)):
             doc, st, en, _, ctx, _, _ = contexts(buf, ends)
             cuts = np.searchsorted(doc, np.arange(len(names) + 1))
             for d, name in enumerate(names):
@@ -539,18 +542,16 @@ def _results(rows: list, ids) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([ids, *(pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.string()]))], _NAMES)
 
 
-def _finish(known: list, ids, texts) -> Iterator[pa.RecordBatch]:
+def _finish(known: list, ids: np.ndarray, raw: list[bytes]) -> Iterator[pa.RecordBatch]:
     if len(known) == 3:
         known[:] = [Gone(*known)]
-    raw = [_utf8(t) for t in texts]
     marks = [np.zeros(len(t), bool) for t in raw]
     # Documents are named by their place here, as several rows may have one doc_id.
-    names = np.array(ids.to_pylist(), np.int64)
     for place, off, buf, ends in _pieces(list(range(len(raw))), iter(raw)):
-        out = known[0].marks(names[place], buf, ends)
+        out = known[0].marks(ids[place], buf, ends)
         for k, lo, hi, o in zip(place.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), off.tolist()):
             marks[k][o : o + hi - lo] |= out[lo:hi]
-    yield _results([_digest(t, m) for t, m in zip(raw, marks)], ids)
+    yield _results([_digest(t, m) for t, m in zip(raw, marks)], pa.array(ids))
 
 
 def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -569,19 +570,37 @@ def _names(blobs: DataFrame) -> DataFrame:
     return blobs.select("blob").mapInArrow(go, "doc_id long").distinct()
 
 
-def _bucket_column(count: int) -> DataFrame:
+def _dealt(count: int):
+    """Documents on their way to their bucket, those of a stretch of input compressed together."""
+
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+
+        def flush(ids: list[int], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+            bucket = _bucket(np.array(ids, np.int64), count)
+            for b in np.unique(bucket):
+                mine = np.flatnonzero(bucket == b).tolist()
+                head = np.array([len(mine), *(ids[k] for k in mine), *(len(texts[k]) for k in mine)], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([int(b)], pa.int32()), pa.array([1], pa.int32()), pa.array([pack.compress(b"".join([head.tobytes(), *(texts[k] for k in mine)]))], pa.binary())], ["bucket", "kind", "blob"])
+
+        ids, texts, size = [], [], 0
         for b in batches:
-            bucket = pa.array(_bucket(b.column(0).to_numpy(), count).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([bucket, pa.nulls(b.num_rows, pa.binary()), *b.columns], ["bucket", "blob", "doc_id", "text"])
+            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
+                ids.append(i)
+                texts.append(_utf8(t))
+                size += len(texts[-1])
+                if size >= GATHER:
+                    yield from flush(ids, texts)
+                    ids, texts, size = [], [], 0
+        if ids:
+            yield from flush(ids, texts)
 
     return go
 
 
 def _together(docs: DataFrame, blobs: DataFrame, count: int) -> DataFrame:
-    rows = docs.mapInArrow(_bucket_column(count), "bucket int, blob binary, doc_id long, text string")
-    blobs = blobs.select("bucket", "blob", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
-    return rows.unionByName(blobs).repartition(parts(docs), "bucket").sortWithinPartitions("bucket", F.col("blob").isNull())
+    rows = docs.mapInArrow(_dealt(count), "bucket int, kind int, blob binary")
+    return rows.unionByName(blobs.select("bucket", F.lit(0).alias("kind"), "blob")).repartition(parts(docs), "bucket").sortWithinPartitions("bucket", "kind")
 
 
 def _about(docs: DataFrame, blobs: DataFrame) -> tuple[DataFrame, DataFrame]:
