@@ -29,7 +29,7 @@ KINDS = ("email", "ip", "card", "phone")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_NUMBERS = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _NUMBER = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
@@ -68,7 +68,7 @@ def ips(text: str) -> list[Span]:
     """A maximal chain of dotted numbers holds one leftmost match for every four of them."""
     out = []
     for m in _NUMBERS.finditer(text):
-        if m.end() - m.start() < 7:
+        if m.end() - m.start() < 7 or text.count(".", *m.span()) < 3:
             continue
         parts = list(_NUMBER.finditer(text, *m.span()))
         for k in range(0, len(parts) - 3, 4):
@@ -137,12 +137,12 @@ _W = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _D = "|".join(DOT_WORDS)
 _A = "|".join(AT_WORDS)
 _LOOK = re.compile(_any_of("".join(LOOKALIKES)))
-_BRACKET = re.compile(rf"\s*(?:\[\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*\]|\(\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*\)|\{{\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*\}}|<\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*>)\s*", re.I)
-_LABELS = r"[A-Za-z0-9-]+(?:(?:\.|\s+(?:" + _D + r")\s+)[A-Za-z0-9-]+)*\s+(?:" + _D + r")\s+[A-Za-z]{2,24}\b"
+_BRACKET = re.compile(rf"\s{{0,20}}(?:\[\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*\]|\(\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*\)|\{{\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*\}}|<\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*>)\s{{0,20}}", re.I)
+_LABELS = r"[A-Za-z0-9-]++(?:(?:\.|\s{1,20}(?:" + _D + r")\s{1,20})[A-Za-z0-9-]++)*\s{1,20}(?:" + _D + r")\s{1,20}[A-Za-z]{2,24}\b"
 _LOCAL_WORDS = r"[A-Za-z0-9_%+-]+(?:(?:\.|\s+(?:" + _D + r")\s+)[A-Za-z0-9_%+-]+)*"
-_AT_END = re.compile(rf"(?:\s+(?:{_A})\s+|\s*@\s*)(?={_LABELS})", re.I)
+_AT_END = re.compile(rf"(?:\s{{1,20}}(?:{_A})\s{{1,20}}|\s{{0,20}}@\s{{0,20}})(?={_LABELS})", re.I)
 _AT_LITERAL = re.compile(rf"(?<=[A-Za-z0-9])(?:\s+(?:{_A})\s+|\s+@\s*|\s*@\s+)(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)", re.I)
-_DOT_WORD = re.compile(rf"\s+(?:{_D})\s+", re.I)
+_DOT_WORD = re.compile(rf"\s{{1,20}}(?:{_D})\s{{1,20}}", re.I)
 _SPELLED = re.compile(rf"(?<!\w)(?:(?:plus|más|mas)[\s-]+)?(?:{_W})(?:[\s,-]+(?:{_W}|{_D})){{3,}}(?!\w)", re.I)
 _TOKEN = re.compile(rf"plus|más|mas|{_W}|{_D}", re.I)
 _IN_BRACKETS = re.compile(rf"[\[({{<]\s*(?:{_A}|@|{_D}|\.)\s*[\])}}>]", re.I)
