@@ -133,6 +133,33 @@ def test_reports(tmp_path, spark):
     assert reports.latest_common_day(q, n, "fund", "medium", 2, 1).first().latest == 1
 
 
+def test_stages_are_built_once(tmp_path, spark):
+    from tidemark.plans import stages
+
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(3)
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "i int, v string")
+    key = stages.fingerprint(stages.input_fingerprint(df), {"b": 1, "a": 2}, build)
+    assert key == stages.fingerprint(stages.input_fingerprint(df.orderBy(F.desc("i"))), {"a": 2, "b": 1}, build)
+    assert stages.input_fingerprint(df) != stages.input_fingerprint(df.where("i = 1"))
+    for _ in range(2):
+        assert stages.kept(spark, str(tmp_path), "s", key, build).count() == 3
+    assert len(built) == 1
+
+
+def test_mining_report(spark):
+    from tidemark.plans import stages
+
+    docs = spark.createDataFrame([(k, "alza del cobre " * 2 if k % 2 else "baja del dolar", "a" if k < 8 else "b") for k in range(12)], "k int, t string, s string")
+    r = stages.mining_report(docs, "k", "t", "s", min_df=2)
+    assert r["metadata"]["sections"] == {"a": 8, "b": 4} and len(r["b"]["samples"]) == 4
+    assert {x["term"] for x in r["a"]["ngrams_top"]} >= {"cobre", "dolar", "baja del"}
+
+
 @pytest.mark.parametrize("name", ["semaforo", "dataset_scenario", "family_match", "enrich_audit", "news_rolling", "mine_ngrams", "url_article_key", "discovery_merge", "html_extract_struct", "stream_dedup_daily", "report_table"])
 def test_queries_run(spark, name):
     assert catalog.QUERIES[name](spark, SMALL).count() > 0
