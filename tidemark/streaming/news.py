@@ -58,11 +58,13 @@ def with_quarantine(stream: DataFrame, good: Column, path: str, rejected: str, c
 
 def rebuild_changed(stream: DataFrame, key: str, fingerprint: str, build, path: str, checkpoint: str) -> StreamingQuery:
     """``build`` only for rows whose fingerprint isn't in the result yet."""
+    from tidemark.sources.news import existing
+
     spark = stream.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
         todo = batch
-        if Path(path).exists() and any(Path(path).glob("batch=*")):
+        if existing(spark, [f"{path}/batch=*/_SUCCESS"]):
             done = spark.read.parquet(path).where(F.col("batch") != number).select(key, fingerprint)
             todo = batch.join(done, [key, fingerprint], "left_anti")
         build(todo).write.mode("overwrite").parquet(f"{path}/batch={number}")
