@@ -359,7 +359,7 @@ class RunIndex:
         self.first, self.last = order[head], order[np.append(head[1:], n) - 1]  # sampled suffixes at run ends
         count = np.bincount(before, minlength=256)
         below = np.cumsum(count) - count
-        by_char = np.lexsort((head, self.char))
+        by_char = np.argsort(self.char.astype(np.uint8), kind="stable")
         size = length[by_char]
         up = np.cumsum(size) - size
         opens = np.append(True, self.char[by_char][1:] != self.char[by_char][:-1])
@@ -369,13 +369,19 @@ class RunIndex:
         self.key, self.run = self.char[by_char] * (n + 1) + head[by_char], by_char
         # Classes of suffixes that share LENGTH bytes, with the smallest document of each.
         a, b = order[1:], order[:-1]
-        same = np.ones(n - 1, bool)
-        for k in (*range(0, LENGTH - 7, 8), LENGTH - 8):
-            same &= self.words[a + k] == self.words[b + k]
-        self.klass = np.append(0, np.flatnonzero(~same) + 1)
-        at = np.searchsorted(np.cumsum([1, *(len(x) + 1 for x in texts)]), order, "right") - 1
-        owner = np.append(docs, np.iinfo(np.int64).max)[np.clip(at, 0, len(docs))]
-        owner[t[order] == 0xFF] = np.iinfo(np.int64).max
+        same = np.arange(n - 1)
+        for k in (*range(0, LENGTH - 7, 8), LENGTH - 8):  # most neighbours differ early
+            same = same[self.words[a[same] + k] == self.words[b[same] + k]]
+        differ = np.ones(n, bool)
+        differ[same + 1] = False
+        self.klass = np.flatnonzero(differ)
+        none = np.iinfo(np.int64).max  # a separator belongs to no document
+        sizes = np.array([len(x) for x in texts], np.int64)
+        owner = np.full(n, none)
+        ends = 1 + np.cumsum(sizes + 1)
+        owner[1:] = np.repeat(docs, sizes + 1)
+        owner[ends - 1] = none
+        owner = owner[order]
         self.least = np.minimum.reduceat(owner, self.klass)
 
     def _suffixes(self) -> np.ndarray:
