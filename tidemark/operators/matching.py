@@ -13,15 +13,18 @@ WORDS = "a-z0-9_"
 
 
 def ngrams(text: Column, most: int, letters: str = WORDS) -> Column:
-    """All runs of 1 to ``most`` words of a normalised text that only spaces part."""
+    """All runs of 1 to ``most`` words of a normalised text that only spaces part; neighbours are zipped."""
     parts = F.filter(F.transform(F.split(text, f"[^{letters}\\s]+"), F.trim), lambda s: s != "")
-    tokens = F.transform(parts, lambda s: F.split(s, r"\s+"))
 
-    def grams(words: Column, n: int) -> Column:
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    def grams(words: Column) -> Column:
+        runs, out = words, [words]
+        for n in range(2, most + 1):
+            left = F.slice(runs, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
+            runs = F.zip_with(left, F.slice(words, n, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+            out.append(runs)
+        return F.concat(*out)
 
-    return F.flatten(F.transform(tokens, lambda w: F.concat(*(grams(w, n) for n in range(1, most + 1)))))
+    return F.flatten(F.transform(F.transform(parts, lambda s: F.split(s, r"\s+")), grams))
 
 
 def dictionary(spark, terms: dict[str, dict[str, float]], source: str = "") -> DataFrame:
