@@ -114,6 +114,26 @@ def test_search_against_brute_force(spark):
     assert hits / (20 * len(asked)) >= 0.95
 
 
+def test_search_in_a_dense_group(spark):
+    rng = np.random.default_rng(6)
+    n, group, d = 12_000, 4000, 64
+    x = rng.normal(size=(n, d))
+    x[:group] = rng.normal(size=d) + rng.normal(size=(group, d)) * 0.1
+    x = np.float32(x / np.linalg.norm(x, axis=1, keepdims=True))
+    x = x[rng.permutation(n)].astype(float)
+    got: dict = {}
+    for r in ann.search(spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], VEC)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall, dense = [], []
+    for q in range(0, n, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        recall.append(len(got[q] & set(np.argsort(-s)[:20].tolist())) / 20)
+        dense.append((s > 0.9).sum() > 1000)
+    recall, dense = np.array(recall), np.array(dense)
+    assert dense.sum() > 100 and recall[dense].mean() >= 0.95 and recall.mean() >= 0.95, (recall[dense].mean(), recall.mean())
+
+
 def test_search_with_copies_and_few(spark):
     rows = [(i, [1.0, 0.0]) for i in range(60)] + [(100, [0.0, 1.0]), (7, None)]
     got: dict = {}

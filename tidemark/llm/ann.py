@@ -5,8 +5,11 @@ into subspaces of two dimensions, each coded in four bits. Codes and codebooks m
 the score-aware loss (Guo et al., 2020): the part of the error that is parallel to the
 vector weighs more than the part across it, because it is what changes large inner
 products. A query reads a table of 16 entries for each subspace, scores all codes of the
-cells it probes by table sums (two subspaces at a time, so 256 entries), and reranks the
-best exactly in double precision.
+cells it probes by table sums (two subspaces at a time, so 256 entries), and reranks
+exactly in double precision. The index keeps the length of what a code misses, which
+bounds the error of a quantised score: the best ``RERANK`` are scored exactly first, then
+every other row whose score may still be among the nearest. No row of a probed cell is
+lost to its code, however many codes of a dense group are equal.
 
 Centres and codebooks are fitted on at most ``SAMPLE`` vectors; every vector is indexed.
 The number of cells to probe is the smallest that reaches ``AIM`` of the exact neighbours
@@ -34,7 +37,7 @@ TRIED = 400  # queries of the sample that choose the number of probes
 AIM = 0.98  # recall within the sample
 CELLS = 1024  # coarse cells, at most
 SHARD, LEAST = 20_000, 2_048  # vectors of a shard, at most and at least: each shard answers each query that looks into it
-RERANK = 200  # vectors that a query reranks in a shard
+RERANK = 200  # vectors that a query scores exactly first in a shard; they decide which others it has to score
 THRESHOLD = 0.2  # cosine from which a pair's score matters: weighs the parallel error
 SWEEPS, ROUNDS = 2, 6
 
@@ -64,6 +67,12 @@ class Index:
         """Codes by coordinate descent on the score-aware loss."""
         return _assign(self.cut(x - self.centers[cell]), self.cut(_unit(x)), self.books, self.weight, None)
 
+    def missed(self, x: np.ndarray, cell: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Length of the part of each vector that its code leaves out, with room for rounding."""
+        made = np.stack([book[codes[:, s]] for s, book in enumerate(self.books)], 1)
+        room = np.sqrt((x * x).sum(1)) + np.sqrt((self.centers[cell] ** 2).sum(1))
+        return np.sqrt(((self.cut(x - self.centers[cell]) - made) ** 2).sum((1, 2))) + 1e-12 * room
+
     def packed(self, codes: np.ndarray) -> np.ndarray:
         if codes.shape[1] % 2:
             codes = np.pad(codes, ((0, 0), (0, 1)))
@@ -149,11 +158,11 @@ def fit(x: np.ndarray, k: int, nearest: int, seed: int = 5) -> Index:
 
 
 def _spread(index, blocks, nearest: int):
-    """Rows ``shard, query, id, cell, code, vec`` of the index, and of each query for every shard it has to look in."""
+    """Rows ``shard, query, id, cells, code, missed, vec`` of the index, and of each query for every shard it has to look in."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix, sub = index.value, blocks.value
-        names = ["shard", "query", "id", "cells", "code", "vec"]
+        names = ["shard", "query", "id", "cells", "code", "missed", "vec"]
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 b = whole.slice(k, 1000)
@@ -162,12 +171,13 @@ def _spread(index, blocks, nearest: int):
                     if x.shape[1] != ix.centers.shape[1]:
                         continue
                     cell = ix.cell(x)
-                    code = ix.packed(ix.encode(x, cell))
+                    codes = ix.encode(x, cell)
+                    code, missed = ix.packed(codes), ix.missed(x, cell, codes)
                     block = (ids[at] * 0x9E3779B1 & 0x7FFFFFFF) % np.array([len(sub[c]) for c in cell])
                     shard = np.array([sub[c][j] for c, j in zip(cell, block)])
                     vecs = lambda rows: pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * x.shape[1]), pa.array(x[rows].ravel()))  # noqa: E731, B023
                     every = np.arange(len(at))
-                    yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.zeros(len(at), bool)), pa.array(ids[at]), pa.array(cell.astype(np.int32)[:, None].tolist(), pa.list_(pa.int32())), pa.array([c.tobytes() for c in code], pa.binary()), vecs(every)], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.zeros(len(at), bool)), pa.array(ids[at]), pa.array(cell.astype(np.int32)[:, None].tolist(), pa.list_(pa.int32())), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(missed), vecs(every)], names)
                     q = np.flatnonzero(asks[at])
                     near = np.argsort(-(x[q] @ ix.centers.T), axis=1, kind="stable")[:, : ix.probes]
                     rows, shards, lists = [], [], []
@@ -180,14 +190,14 @@ def _spread(index, blocks, nearest: int):
                         shards += to.keys()
                         lists += to.values()
                     if rows:
-                        yield pa.RecordBatch.from_arrays([pa.array(np.array(shards, np.int64)), pa.array(np.ones(len(rows), bool)), pa.array(ids[at][rows]), pa.array(lists, pa.list_(pa.int32())), pa.array([b""] * len(rows), pa.binary()), vecs(np.array(rows))], names)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.array(shards, np.int64)), pa.array(np.ones(len(rows), bool)), pa.array(ids[at][rows]), pa.array(lists, pa.list_(pa.int32())), pa.array([b""] * len(rows), pa.binary()), pa.array(np.zeros(len(rows))), vecs(np.array(rows))], names)
 
     return go
 
 
 def _searched(index, nearest: int):
     def handle(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        ix = index.value
+        ix, first = index.value, max(RERANK, nearest + 1)
         shard = t.column("shard").to_numpy()
         asks, ids = t.column("query").to_numpy(), t.column("id").to_numpy()
         cells, code, vec = (t.column(c).combine_chunks() for c in ("cells", "code", "vec"))
@@ -199,23 +209,27 @@ def _searched(index, nearest: int):
             c = np.frombuffer(b"".join(code.take(pa.array(item)).to_pylist()), np.uint8).reshape(len(item), -1)
             cell = cells.take(pa.array(item)).flatten().to_numpy()
             order = np.argsort(cell, kind="stable")
-            x, c, cell, item = x[order], c[order], cell[order], ids[item[order]]
+            x, c, cell, item, missed = x[order], c[order], cell[order], ids[item[order]], t.column("missed").to_numpy()[item[order]]
             start, stop = (np.searchsorted(cell, np.arange(len(ix.centers)), side) for side in ("left", "right"))
             columns = [np.ascontiguousarray(v) for v in c.T]
             for k in range(0, len(query), 256):
                 some = query[k : k + 256]
                 q = matrix(vec.take(pa.array(some)))[0][1]
-                tables, base = ix.tables(q), q @ ix.centers.T
+                tables, base, length = ix.tables(q), q @ ix.centers.T, np.sqrt((q * q).sum(1))
                 who, found, score = [], [], []
                 for i, probed in enumerate(cells.take(pa.array(some)).to_pylist()):
                     at = np.concatenate([np.arange(start[p], stop[p]) for p in probed])
                     if not len(at):
                         continue
-                    if len(at) > RERANK:
+                    if len(at) > first:
                         guess = base[i][cell[at]]
                         for column, table in zip(columns, tables[i]):
                             guess += table[column[at]]
-                        at = at[np.argpartition(-guess, RERANK)[:RERANK]]
+                        top = np.argpartition(-guess, first)[:first]
+                        least = np.partition(np.einsum("ij,j->i", x[at[top]], q[i]), first - nearest - 1)[first - nearest - 1]
+                        may = guess + length[i] * missed[at] >= least
+                        may[top] = True
+                        at = at[may]
                     exact = np.einsum("ij,j->i", x[at], q[i])
                     best = np.lexsort((item[at], -exact))[: nearest + 1]
                     who.append(np.full(len(best), ids[some[i]]))
@@ -269,7 +283,7 @@ def search(embeddings: DataFrame, every: int = 20, nearest: int = 20) -> DataFra
                 shards, room = shards + 1, least
             sub[c], room = [shards], room - size[c]
     blocks = spark.sparkContext.broadcast(sub)
-    spread = cls.select("id", "asks", "vec").mapInArrow(_spread(index, blocks, nearest), "shard long, query boolean, id long, cells array<int>, code binary, vec array<double>")
+    spread = cls.select("id", "asks", "vec").mapInArrow(_spread(index, blocks, nearest), "shard long, query boolean, id long, cells array<int>, code binary, missed double, vec array<double>")
     found = sorted_by(spread, "shard").mapInArrow(by_run("shard", _searched(index, nearest), 20_000), "query long, id long, score double")
     first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     found = found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= nearest + 1).drop("rank")
