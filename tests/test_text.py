@@ -204,3 +204,17 @@ def test_news_files(tmp_path, spark):
     good, bad = news.with_integrity(arts, [F.col("article.raw.published_at")], F.col("article.raw.url"))
     assert good.count() == 1 and bad.count() == 1
     assert news.read_days(spark, str(tmp_path), ["m"], schema, days=["2024-02-02"]).count() == 1
+
+
+def test_mining_takes_every_language_and_three_words(tmp_path, spark):
+    from tidemark.plans import text_queries
+
+    rows = [(k, ["the red house", "casa roja déficit", "maison rouge neuve"][k % 3], ["en", "es", None][k % 3]) for k in range(18)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.term: (r["count"], r.df, r.df_pct) for r in text_queries.mine_ngrams(spark, str(tmp_path)).collect()}
+    third = {"red", "house", "red house", "casa", "roja", "déficit", "casa roja", "roja déficit", "casa roja déficit", "maison", "rouge", "neuve", "maison rouge", "rouge neuve", "maison rouge neuve"}
+    assert got == {t: (6, 6, round(1 / 3, 6)) for t in third}
+    score = {r.term: r.score for r in text_queries.mine_tfidf(spark, str(tmp_path)).collect()}
+    assert set(score) == third
+    assert all(abs(v - (1 / 3) / (3 if "hous" in t or "red" in t.split() else 6) ** 0.5) < 1e-7 for t, v in score.items())
+    assert sorted(tuple(r) for r in text_queries.mojibake_repair(spark, str(tmp_path)).collect()) == [(k, True) for k in range(18)]

@@ -180,8 +180,8 @@ def news_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    d = read(spark, sf_dir, "documents").where("lang = 'en'")
-    return mining.gram_counts(d, "doc_id", "text", 2, ["the", "and"]), d.count()
+    d = read(spark, sf_dir, "documents")
+    return mining.gram_counts(d, "doc_id", "text", stop=["the", "and"]), d.count()
 
 
 _GRAMS = """d AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-záéíóúñü_]{3,}'), lambda x: x NOT IN ('the', 'and')) AS w FROM documents WHERE lang = 'en'),
@@ -298,7 +298,7 @@ def article_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts read in the wrong encoding and repaired; ``same`` where the original came back."""
-    d = read(spark, sf_dir, "documents").where("lang <> 'en'")
+    d = read(spark, sf_dir, "documents")
     broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     return d.select("doc_id", (T.repair_mojibake(broken) == F.col("text")).alias("same"))
 
