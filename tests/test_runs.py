@@ -124,6 +124,33 @@ def test_clusters_find_groups():
     assert (cluster.hdbscan(x[:5]) == -1).all()
 
 
+def test_clusters_are_of_density_at_every_size(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([np.repeat(rng.normal(0, 1, (70, 16)), 140, 0) + rng.normal(0, 0.1, (9800, 16)), rng.normal(0, 3, (300, 16))])
+    rows = [(int(i), v) for i, v in enumerate(x.tolist())]
+    got = {r.k: r.cluster for r in cluster.clusters(spark.createDataFrame(rows, "k int, v array<double>"), "k", "v").collect()}
+    label = np.array([got[k] for k in range(len(x))])
+    whole = cluster.hdbscan(x)
+    assert len(x) > 10_000 and (label == -1).sum() > 50 and ((label < 0) == (whole < 0)).all() and len(set(zip(label, whole))) == len(set(label)) == len(set(whole))
+    main = [np.bincount(g[g >= 0]).argmax() for g in label[:9800].reshape(70, 140)]
+    assert len(set(main)) == 70
+
+
+def test_clusters_do_not_depend_on_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(0, 0.2, (120, 3)), rng.normal(4, 0.3, (150, 3)), np.full((40, 3), 9.0), rng.uniform(-20, 20, (90, 3))])
+    df = spark.createDataFrame([(int(i), v) for i, v in enumerate(x.tolist())], "k int, v array<double>")
+    seen = []
+    for block in (10_000, 50):
+        monkeypatch.setattr(cluster, "BLOCK", block)
+        got = {r.k: r.cluster for r in cluster.clusters(df, "k", "v").collect()}
+        seen.append([got[k] for k in range(len(x))])
+    seen.append(cluster.hdbscan(x).tolist())
+    assert -1 in seen[0] and len(set(seen[0])) >= 4 and seen[0][270] >= 0
+    for other in seen[1:]:
+        assert len(set(zip(seen[0], other))) == len(set(seen[0])) == len(set(other)) and [c < 0 for c in seen[0]] == [c < 0 for c in other]
+
+
 def test_reports(tmp_path, spark):
     assert reports.flat({"a": 1, "b": [1], "metrics": {"x": 0.5, "cm": [[1]]}}) == {"a": 1, "metric_x": 0.5}
     reports.write_atomic(str(tmp_path / "d" / "r.json"), [{"a": 1}])
