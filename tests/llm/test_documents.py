@@ -380,3 +380,65 @@ def test_pipeline(spark):
         docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.columns == before.columns, name
     assert DOCS and docs.count() == got.count()
+
+
+MIT = """Copyright (c) 2024 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_wrapped_licence_texts(spark):
+    want = [(MIT, "1,2,3,4", "MIT"), (APACHE, "11,12,13,14", "Apache-2.0"), (GPL, "15,17,18", "GPL-3.0-or-later"), (ISC, "31", "ISC"), (MPL, "32", "MPL-2.0")]
+    styles = [lambda t: t, lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.splitlines()) + " */\n", lambda t: "".join(f"# {x}\r\n" for x in t.splitlines()), lambda t: " ".join(t.split())]
+    rows = [(10 * k + j, f(t), None, None, 0) for k, (t, _, _) in enumerate(want) for j, f in enumerate(styles) if j < 3 or t not in (MIT, APACHE)]  # on one line nothing ends their parts
+    rows += [(1000, "Notes\nReleased under the MIT License\nmore words", None, None, 0), (1001, "He released under the MIT License what he had.", None, None, 0)]
+    got = {r.doc_id: (r.sentence_ids, r.licenses) for r in licenses.license_scan(documents(spark, rows)).collect()}
+    assert {i: got[i] for i in got if i < 1000 and got[i] != want[i // 10][1:]} == {}
+    assert got[1000] == ("21", "MIT") and got[1001] == ("", "")

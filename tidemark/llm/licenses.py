@@ -1,8 +1,10 @@
 """Licence scans by sentence rules; DataFrame functions only.
 
-A text is split into sentences, each is normalised (lower case, runs of anything but
-ASCII letters and digits to one space) and looked up among known licence sentences. What
-is left of a text is the sequence of their identifiers. Ordered rules, each a sequence of
+A text is normalised (lower case, runs of anything but ASCII letters and digits to one
+space, a mark where a sentence, line or clause may end). A known licence sentence is found
+where it fills the text from one mark to another, whatever marks are within: it may be
+wrapped over lines of a comment or hold a colon. What is left of a text is the sequence of
+identifiers. Ordered rules, each a sequence of
 identifiers, are then tried from the first: a rule that occurs contiguously names its
 licence and takes its identifiers out, so that a shorter rule can't claim them again.
 
@@ -84,6 +86,8 @@ RULES = (
 )
 BOUNDARY = r"[.!?:]+[ \t\r]+|[.!?:]*[\r\n]+"
 OTHER = r"[^a-z0-9]+"
+MARK = "Z"  # texts are in lower case
+KNOWN = f"(?<=^|^ |{MARK}|{MARK} )(" + "|".join(s.replace(" ", f"[ {MARK}]+") for _, s in sorted(SENTENCES, key=lambda x: -len(x[1]))) + f")(?= ?(?:{MARK}|$))"
 
 
 def _sequence(ids: tuple[int, ...]) -> str:
@@ -100,8 +104,9 @@ def license_scan(docs: DataFrame) -> DataFrame:
     """
     known = F.create_map(*(F.lit(x) for i, s in SENTENCES for x in (s, str(i))))
     rules = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(_sequence(ids)).alias("ids")) for n, ids in RULES))
-    sentences = F.split(F.lower(F.coalesce("text", F.lit(""))), BOUNDARY)
-    ids = F.filter(F.transform(sentences, lambda s: F.try_element_at(known, F.trim(F.regexp_replace(s, OTHER, " ")))), lambda x: x.isNotNull())
+    marked = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), f"{BOUNDARY}|;", MARK)
+    marked = F.regexp_replace(marked, f"[^a-z0-9{MARK}]+", " ")
+    ids = F.transform(F.regexp_extract_all(marked, F.lit(KNOWN), F.lit(1)), lambda s: F.element_at(known, F.regexp_replace(s, f"[ {MARK}]+", " ")))
     start = F.struct(F.concat(F.lit("<"), F.array_join("ids", "><"), F.lit(">")).alias("left"), F.array().cast("array<string>").alias("named"))
 
     def tried(acc, rule):
