@@ -32,8 +32,8 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens meet the raked targets of source, language and topic."""
-    return mixing.sample(docs)
+    """A sample whose expected tokens meet the raked targets of source, language and topic; documents of scarce cells are repeated."""
+    return mixing.sample(docs, repeat=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -303,6 +303,23 @@ def test_mixing_meets_its_targets(spark):
     assert mixing.mixed(empty(spark)).count() == 0 and mixing.sample(empty(spark)).count() == 0
 
 
+def test_repeated_mixing_meets_skewed_targets(spark):
+    rows = [(k, "word " * 50 + ("" if k % 20 else " licence"), ["en", "en", "en", "es"][k % 4], ["a", "a", "b"][k % 3], 0) for k in range(2400)]
+    docs = documents(spark, rows)
+    got = mixing.mixed(docs, repeat=True).toPandas()
+    assert len(got) == 2400 and got.expected.max() > 1.5 and (got.sampled == (got["copies"] > 0)).all()
+    total = got.n_tokens.sum()
+    assert (got.expected * got.n_tokens).sum() / total == pytest.approx(mixing.FRACTION, abs=1e-4)
+    for d in mixing.DIMS:
+        own = got.groupby(d).n_tokens.sum() ** 0.5
+        for n, near in (("expected", 1e-4), ("copies", 0.03)):
+            have = (got[n] * got.n_tokens).groupby(got[d]).sum()
+            assert (have / have.sum()).to_dict() == pytest.approx((own / own.sum()).to_dict(), abs=near)
+    kept = mixing.sample(docs, repeat=True)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(got.doc_id.repeat(got["copies"])) and kept.columns == docs.columns
+    assert mixing.mixed(empty(spark), repeat=True).count() == 0 and mixing.sample(empty(spark), repeat=True).count() == 0
+
+
 def test_mixing_of_nothing(spark):
     rows = [(1, None, None, None, 0), (1, None, None, None, 0), (None, "", "en", "s", 0)]
     got = mixing.mixed(documents(spark, rows)).collect()

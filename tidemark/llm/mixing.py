@@ -4,7 +4,10 @@ Token counts are summed to cells, one for each combination of source, language a
 Raking multiplies the cells' weights, one dimension after the other, until the sums over
 every dimension meet their target shares. A document's probability is its cell's weight
 over its cell's tokens, scaled so that the expected tokens meet the wanted part of the
-corpus; probabilities over one are set to one and the rest scaled up to make good.
+corpus. Where targets ask for more than there is, a value over one is an expected number of
+copies (``repeat``): the targets are met and documents of scarce cells are repeated. Without
+``repeat``, probabilities over one are set to one and the rest scaled up to make good; the
+sample then misses the targets.
 
 All raking happens on the cell table, which is pre-aggregated before any shuffle, so a
 source with a third of all rows is a few cells like any other.
@@ -90,29 +93,50 @@ def probabilities(cells: DataFrame, fraction: float = FRACTION) -> DataFrame:
     return c.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("scale") * F.col("r"))).otherwise(1.0)).drop("scale", "r")
 
 
-def mixed(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None, fraction: float = FRACTION) -> DataFrame:
+def repeats(cells: DataFrame, fraction: float = FRACTION) -> DataFrame:
+    """Adds ``expected``, the expected number of copies, and ``probability`` of at least one to raked cells."""
+    share = F.col("w") / F.sum("w").over(Window.partitionBy(F.lit(1)))
+    c = cells.withColumn("expected", F.when(F.col("tokens") > 0, share * F.sum("tokens").over(Window.partitionBy(F.lit(1))) * fraction / F.col("tokens")).otherwise(1.0))
+    return c.withColumn("probability", F.least(F.lit(1.0), "expected"))
+
+
+def copies(doc_id: Column, expected: Column) -> Column:
+    """How often a document is in the sample: the whole part, and once more by chance for the rest."""
+    whole = F.floor(expected)
+    return (whole + F.when(chance(doc_id) < expected - whole, 1).otherwise(0)).cast("int")
+
+
+def mixed(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None, fraction: float = FRACTION, repeat: bool = False) -> DataFrame:
     """One row for each row of ``docs``: dimensions, tokens, probability and whether it is sampled.
 
     Null sources and languages are a value of their own, a null text has no tokens, a null
     doc_id is sampled as one fixed id. Repeated rows are sampled alike. Further columns
-    are ignored; an empty table gives no rows.
+    are ignored; an empty table gives no rows. With ``repeat`` the expected number of
+    copies and ``copies`` are added, and a document is sampled if it has any.
     """
     d = described(docs)
+    if repeat:
+        p = cut(repeats(rake(d.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens")), shares), fraction).select(*DIMS, "probability", "expected"))
+        p = F.broadcast(p) if p.count() <= FEW_CELLS else p
+        n = copies(F.col("doc_id"), F.col("expected"))
+        return d.join(p, list(DIMS)).select("doc_id", *DIMS, "n_tokens", F.round("probability", 6).alias("probability"), (n > 0).alias("sampled"), F.round("expected", 6).alias("expected"), n.alias("copies"))
     cells = d.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens"))
     p = cut(probabilities(rake(cells, shares), fraction).select(*DIMS, "probability"))
     p = F.broadcast(p) if p.count() <= FEW_CELLS else p
     return d.join(p, list(DIMS)).select("doc_id", *DIMS, "n_tokens", F.round("probability", 6).alias("probability"), (chance(F.col("doc_id")) < F.col("probability")).alias("sampled"))
 
 
-def sample(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None, fraction: float = FRACTION) -> DataFrame:
-    """The rows of ``docs`` that :func:`mixed` samples, columns unchanged; texts aren't shuffled where cells are few."""
-    text = F.coalesce("text", F.lit(""))
+def sample(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None, fraction: float = FRACTION, repeat: bool = False) -> DataFrame:
+    """The rows of ``docs`` that :func:`mixed` samples, with ``repeat`` as often as it says; columns unchanged, texts aren't shuffled where cells are few."""
     cells = described(docs).groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens"))
-    p = cut(probabilities(rake(cells, shares), fraction).select(*(F.col(d).alias(f"cell_{d}") for d in DIMS), "probability"))
+    p = cut((repeats if repeat else probabilities)(rake(cells, shares), fraction).withColumn("most", F.col("expected" if repeat else "probability")).select(*(F.col(d).alias(f"cell_{d}") for d in DIMS), "most"))
     p = F.broadcast(p) if p.count() <= FEW_CELLS else p
     mine = [*(F.coalesce(docs[d], F.lit("(none)")) for d in DIMS[:2]), topic_of(F.coalesce(docs["text"], F.lit("")))]
     on = [a == p[f"cell_{d}"] for a, d in zip(mine, DIMS)]
-    return docs.join(p, on).where(chance(docs["doc_id"]) < p["probability"]).select(*(docs[c] for c in docs.columns))
+    found = docs.join(p, on)
+    if repeat:
+        return found.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(0), copies(docs["doc_id"], p["most"]))).alias("copy of mixing")).where(F.col("copy of mixing") > 0).drop("copy of mixing")
+    return found.where(chance(docs["doc_id"]) < p["most"]).select(*(docs[c] for c in docs.columns))
 
 
 def _sql() -> str:

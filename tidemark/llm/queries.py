@@ -32,7 +32,7 @@ def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(table(spark, sf_dir, "documents"))
+    return mixing.mixed(table(spark, sf_dir, "documents"), repeat=True)
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
