@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, chat, lattice
+from tidemark.llm import ann, chat, common, lattice
+from tidemark.llm import vectors as vectors_
 
 VEC = "vec_id long, embedding array<float>"
 
@@ -76,19 +77,45 @@ def test_nearest_lattice_point():
         assert all(((q + s - v) ** 2).sum() >= ((q - v) ** 2).sum() - 1e-9 for s in lattice.SHORT)
 
 
-def test_more_blocks_reach_the_recall():
+@pytest.mark.parametrize("dim", [16, 64, 768])
+def test_tables_reach_the_recall_in_any_dimension(dim):
     rng = np.random.default_rng(1)
-    x = rng.normal(size=(1500, 64))
+    x = rng.normal(size=(1500, dim))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     off = rng.normal(size=x.shape)
     off -= (off * x).sum(1, keepdims=True) * x
     off /= np.linalg.norm(off, axis=1, keepdims=True)
     y = 0.95 * x + np.sqrt(1 - 0.95**2) * off
-    for blocks, tables in lattice.TABLES.items():
-        code = lattice.Codes(64, blocks, tables)
-        (ha, pa), (hb, pb) = code(x), code(y)
-        met = (ha == hb).any(1) | (pa == hb[:, :, None]).any((1, 2)) | (pb == ha[:, :, None]).any((1, 2))
-        assert met.mean() > 0.98, (blocks, met.mean())
+    code = lattice.Codes(dim)
+    (ha, pa, sa), (hb, pb, sb) = code(x), code(y)
+    assert (code.homes(x) == ha).all()
+    met = (ha == hb).any(1) | (pa == hb[:, :, None]).any((1, 2)) | (pb == ha[:, :, None]).any((1, 2))
+    met &= np.bitwise_count(sa ^ sb) <= lattice.REACH
+    assert met.mean() > 0.98, met.mean()
+
+
+def test_moves_are_the_best_of_all_short_vectors():
+    rest = np.random.default_rng(2).normal(size=(300, 8)) * 0.3
+    best = np.sort(rest @ lattice.SHORT.T, axis=1)[:, :-5:-1]
+    mine = lattice.toward(rest, 4)
+    assert np.allclose(np.einsum("rpk,rk->rp", mine, rest), best)
+    assert all((lattice.SHORT == m).all(1).any() for m in mine.reshape(-1, 8))
+
+
+def test_keys_are_of_the_whole_vector(spark):
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [2.0, 1.0]), (4, [0.0, 1.0]), (5, [-0.0, 1.0]), (6, [1.0]), (7, [1.0, 0.0]), (8, None), (None, [1.0])]
+    got = {r.vec_id: r.key for r in vectors_.keyed(spark.createDataFrame(rows, VEC), all_rows=True).collect()}
+    assert got[1] == got[2] and got[4] == got[5] and len({got[k] for k in (1, 3, 4, 6, 7)}) == 5 and got[8] is got[None] is None
+    assert sorted((r.id, r.n) for r in vectors_.classes(spark.createDataFrame(rows, VEC)).collect()) == [(1, 2), (3, 1), (4, 2), (6, 1), (7, 1)]
+
+
+def test_frequent_classes_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 5)
+    rows, bad = vectors(n=200)
+    rows += [(k, rows[0][1]) for k in range(5000, 5050)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in lattice.lattice_links(spark.createDataFrame(rows + bad, VEC)).collect()}
+    want = plain_links(rows)
+    assert {k: got[k] for k in want} == want
 
 
 def test_search_against_brute_force(spark):

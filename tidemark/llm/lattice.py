@@ -1,21 +1,28 @@
 """Embedding near-dedup by E8 lattice hashing.
 
-Every table projects vectors of unit length at random to blocks of eight dimensions and
-decodes each block to the nearest point of the E8 lattice: the vector's cell. A vector is
-stored in its cell and also looks into neighbouring cells, those of the 240 shortest
-lattice vectors that point most nearly where its remainder points. Vectors that meet in a
-cell are verified by cosine in double precision.
-
-Equal vectors are one row from the start. A cell of more than ``CELL`` rows is dealt out
-as pairs of blocks. A linked pair that meets in several cells counts in one of them only,
-which both codes together tell, so links are summed in place and pairs are never emitted;
-for the components, each group of rows emits a spanning forest.
+Every table projects vectors of unit length at random to ``BLOCKS`` blocks of eight
+dimensions and decodes each block to the nearest point of the E8 lattice: together the
+vector's cell. A vector is stored in its cell and also looks into neighbouring cells: one
+block moved by those of the 240 shortest lattice vectors that point most nearly where its
+remainder points. The spread of the projections is the same whatever the dimension of the
+vectors, so the chance to meet depends on the cosine alone; ``TABLES`` tables find more
+than 0.99 of the pairs at a cosine of exactly 0.95. Nothing of this depends on the number
+of rows.
+
+Rows of cells carry an identifier and a sketch of 64 signs of random projections, no
+vectors. Of a cell's rows only those go on that have another one with at most ``REACH``
+differing signs there (pairs at a cosine of 0.95 differ in more once in 5,000 times). These
+fetch their vectors and are verified by cosine in double precision.
+
+Equal vectors are one row from the start. A cell of many rows is dealt out as pairs of
+blocks. A linked pair that meets in several cells counts in one of them only, which both
+codes together tell, so links are summed in place and pairs are never emitted; for the
+components, each group of rows emits a spanning forest.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,17 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_run, components, cut, runs, sorted_by
-from tidemark.llm.vectors import classes, keyed, matrix, usable
+from tidemark.llm.common import by_run, components, cut, runs, sorted_by, with_class
+from tidemark.llm.vectors import classes, elsewhere, keyed, matrix
 
-SCALE = 5.0  # lattice cells a unit vector's projection spreads over
-PROBES = 4  # neighbouring cells looked into, per block
+SPREAD = 0.55  # standard deviation of a unit vector's projections, where shortest lattice vectors have length 1.41
+BLOCKS, TABLES, PROBES = 2, 12, 1  # tables: 16 at most
+SIGNS, REACH = 64, 17
 CELL = 4096  # rows of a cell that are compared in one go
-FEW = 10_000  # large cells whose list is broadcast, at most
-# One block up to LARGEST vectors, one more for every further factor of GROWTH; the tables
-# that reach a recall of over 0.997 at a cosine of 0.95 with so many blocks.
-LARGEST, GROWTH = 500_000, 1000
-TABLES = {1: 4, 2: 12, 3: 30}
+MOST_LARGE = 200_000  # cells that are dealt out, at most: their list is broadcast
+ACTIVE = 1000  # rows whose codes are worked out in one go
 
 
 def _short_vectors() -> np.ndarray:
@@ -60,45 +65,88 @@ def nearest(x: np.ndarray) -> np.ndarray:
     return np.where((((x - a) ** 2).sum(1) <= ((x - b) ** 2).sum(1))[:, None], a, b)
 
 
+def _moves() -> np.ndarray:
+    """Shortest vectors worth looking at, for a remainder whose components fall in size: two whole steps, or halves with some signs turned."""
+    pairs = [(0, 1), (0, 2), (0, 3), (0, 4), (1, 2)]
+    turned = {0: [(), (6, 7), (5, 7), (5, 6), (4, 7)], 1: [(7,), (6,), (5,), (4,), (5, 6, 7)]}
+    out = np.zeros((2, 10, 8))
+    for odd in (0, 1):
+        for i, (a, b) in enumerate(pairs):
+            out[odd, i, [a, b]] = 1
+        for i, t in enumerate(turned[odd]):
+            out[odd, 5 + i] = 0.5
+            out[odd, 5 + i, list(t)] = -0.5
+    return out
+
+
+MOVES = _moves()
+
+
+def toward(rest: np.ndarray, count: int) -> np.ndarray:
+    """The ``count`` (4 at most) shortest lattice vectors that point most nearly where each remainder points."""
+    order = np.argsort(-np.abs(rest), axis=1, kind="stable")
+    sorted_ = np.take_along_axis(rest, order, 1)
+    sign = np.where(sorted_ < 0, -1.0, 1.0)
+    moves = MOVES[(sorted_ < 0).sum(1) & 1]
+    size = np.abs(sorted_)
+    gain = np.zeros(moves.shape[:2])
+    for k in range(8):  # in a fixed order
+        gain += moves[:, :, k] * size[:, k : k + 1]
+    best = np.argsort(-gain, axis=1, kind="stable")[:, :count]
+    chosen = np.take_along_axis(moves, best[:, :, None], 1) * sign[:, None, :]
+    out = np.empty_like(chosen)
+    np.put_along_axis(out, np.broadcast_to(order[:, None, :], chosen.shape), chosen, 2)
+    return out
+
+
 def _hash(points: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit hash of integer rows."""
+    """A hash of integer rows; its lowest four bits are left for the table's number."""
     h = np.full(len(points), seed * 2 + 1, np.uint64)
     with np.errstate(over="ignore"):
         for c in points.T:
             h = (h ^ c.astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-    return (h ^ (h >> np.uint64(32))).view(np.int64)
+    return ((h ^ (h >> np.uint64(32))) << np.uint64(4)).view(np.int64)
 
 
 class Codes:
-    """Cells of unit vectors in every table. Sums are taken in a fixed order, so a vector has the same code in any batch."""
+    """Cells and sketches of unit vectors. Sums are taken in a fixed order, so a vector has the same code in any batch."""
 
-    def __init__(self, dim: int, blocks: int, tables: int, seed: int = 17):
-        self.blocks, self.tables, self.seed = blocks, tables, seed + 1000 * dim
-        self.to = np.random.default_rng(self.seed).normal(size=(dim, tables * blocks * 8)) * (SCALE / math.sqrt(dim))
+    def __init__(self, dim: int):
+        self.seed = 17 + 1000 * dim
+        self.to = np.random.default_rng(self.seed).normal(size=(dim, TABLES * BLOCKS * 8 + SIGNS)) * SPREAD
 
-    def __call__(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``home`` (rows, tables) and ``probes`` (rows, tables, probes)."""
-        y = np.zeros((len(unit), self.to.shape[1]))
-        for k, row in enumerate(self.to):
+    def _decoded(self, unit: np.ndarray, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        y = np.zeros((len(unit), columns))
+        for k, row in enumerate(self.to[:, :columns]):
             y += unit[:, k : k + 1] * row
-        home = np.empty((len(unit), self.tables), np.int64)
-        probes = np.empty((len(unit), self.tables, self.blocks * PROBES), np.int64)
-        for t in range(self.tables):
-            part = y[:, t * self.blocks * 8 : (t + 1) * self.blocks * 8].reshape(-1, self.blocks, 8)
-            point = np.stack([nearest(part[:, b]) for b in range(self.blocks)], 1)
-            twice = (2 * point).astype(np.int64)
-            home[:, t] = _hash(twice.reshape(len(unit), -1), self.seed + t)
-            for b in range(self.blocks):
-                toward = np.zeros((len(unit), len(SHORT)))
-                for k in range(8):
-                    toward += (part[:, b, k] - point[:, b, k])[:, None] * SHORT[:, k]
-                for i, k in enumerate(np.argsort(-toward, axis=1, kind="stable")[:, :PROBES].T):
-                    other = twice.copy()
-                    other[:, b] += (2 * SHORT[k]).astype(np.int64)
-                    probes[:, t, b * PROBES + i] = _hash(other.reshape(len(unit), -1), self.seed + t)
-        return home, probes
+        part = y[:, : TABLES * BLOCKS * 8].reshape(-1, 8)
+        return y, part, nearest(part)
+
+    def _keys(self, twice: np.ndarray, t: int) -> np.ndarray:
+        return _hash(twice.reshape(len(twice), BLOCKS * 8), self.seed + t) | t
+
+    def homes(self, unit: np.ndarray) -> np.ndarray:
+        """The cell of each row in each table."""
+        _, _, point = self._decoded(unit, TABLES * BLOCKS * 8)
+        twice = (2 * point).astype(np.int64).reshape(len(unit), TABLES, BLOCKS, 8)
+        return np.stack([self._keys(twice[:, t], t) for t in range(TABLES)], 1)
+
+    def __call__(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``home`` (rows, tables), ``probes`` (rows, tables, probes) and ``sketch`` (rows)."""
+        y, part, point = self._decoded(unit, self.to.shape[1])
+        shape = len(unit), TABLES, BLOCKS, 8
+        twice = (2 * point).astype(np.int64).reshape(shape)
+        steps = (2 * toward(part - point, PROBES)).astype(np.int64).reshape(len(unit), TABLES, BLOCKS, PROBES, 8)
+        home = np.stack([self._keys(twice[:, t], t) for t in range(TABLES)], 1)
+        probes = np.empty((len(unit), TABLES, BLOCKS * PROBES), np.int64)
+        for t, b, p in itertools.product(range(TABLES), range(BLOCKS), range(PROBES)):
+            other = twice[:, t].copy()
+            other[:, b] += steps[:, t, b, p]
+            probes[:, t, b * PROBES + p] = self._keys(other, t)
+        sketch = np.packbits(y[:, TABLES * BLOCKS * 8 :] > 0, axis=1).view(np.uint64).ravel()
+        return home, probes, sketch
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -106,31 +154,72 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _cells(blocks: int, tables: int, vectors: bool):
-    """Rows ``key, t, home, id, n, vec``: one for a vector's own cell and one for each it looks into."""
-
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, Codes] = {}
-        for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                b = whole.slice(k, 1000)
-                ids, n = b.column(0).to_numpy(), b.column(1).to_numpy()
-                for at, x in matrix(b.column(2)):
-                    code = made.setdefault(x.shape[1], Codes(x.shape[1], blocks, tables))
-                    unit = _unit(x)
-                    home, probes = code(unit)
-                    for t in range(tables):
-                        key = np.concatenate([home[:, t : t + 1], probes[:, t]], 1)
-                        w = key.shape[1]
-                        if not vectors:
-                            yield pa.RecordBatch.from_arrays([pa.array(key.ravel())], ["key"])
-                            continue
-                        each = np.repeat(np.arange(len(at)), w)
-                        own = np.tile(np.arange(w) == 0, len(at))
-                        vec = pa.ListArray.from_arrays(pa.array(np.arange(len(each) + 1, dtype=np.int32) * x.shape[1]), pa.array(x[each].ravel()))
-                        yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.full(len(each), t, np.int32)), pa.array(own), pa.array(ids[at][each]), pa.array(n[at][each]), vec], ["key", "t", "own", "id", "n", "vec"])
-
-    return go
+def _steps(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Batches in steps of ``ACTIVE`` rows, and for each length of vector the rows' places and unit vectors."""
+    for whole in batches:
+        for k in range(0, whole.num_rows, ACTIVE):
+            b = whole.slice(k, ACTIVE)
+            for at, x in matrix(b.column(b.schema.get_field_index(column))):
+                yield b, at, _unit(x)
+
+
+def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    made: dict[int, Codes] = {}
+    for _, _, unit in _steps(batches, "vec"):
+        code = made.setdefault(unit.shape[1], Codes(unit.shape[1]))
+        yield pa.RecordBatch.from_arrays([pa.array(code.homes(unit).ravel())], ["key"])
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``key, id, sketch, own``: one for a vector's own cell of each table and one for each cell it looks into."""
+    made: dict[int, Codes] = {}
+    for b, at, unit in _steps(batches, "vec"):
+        code = made.setdefault(unit.shape[1], Codes(unit.shape[1]))
+        home, probes, sketch = code(unit)
+        key = np.concatenate([home[:, :, None], probes], 2).reshape(len(at), -1)
+        width = key.shape[1]
+        own = np.tile(np.arange(width) % (1 + BLOCKS * PROBES) == 0, len(at))
+        ids = np.repeat(b.column(b.schema.get_field_index("id")).to_numpy()[at], width)
+        yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(ids), pa.array(np.repeat(sketch, width).view(np.int64)), pa.array(own)], ["key", "id", "sketch", "own"])
+
+
+# What a row is in its task, as bits: the vector's own cell, compared with the other side only, of that other side.
+OWN, ACROSS, OTHER = 1, 2, 4
+
+
+def _meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows of kinds ``a`` and ``b`` are compared in their task."""
+    return ((a | b) & OWN).astype(bool) & ((a & ACROSS == 0) | ((a ^ b) & OTHER).astype(bool))
+
+
+def _close(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Rows that have another one near by sketch in the same task."""
+    key, ids, kind = (t.column(c).to_numpy() for c in ("key", "id", "kind"))
+    sketch = t.column("sketch").to_numpy().view(np.uint64)
+    at = runs(key)
+    size = np.diff(at)
+    live = np.zeros(len(key), bool)
+    small = np.flatnonzero(np.repeat(size <= 16, size))
+    k, s, i, m = key[small], sketch[small], ids[small], kind[small]
+    for gap in range(1, 16):
+        same = np.flatnonzero(k[gap:] == k[:-gap])
+        if not len(same):
+            break
+        a, b = same, same + gap
+        near = (np.bitwise_count(s[a] ^ s[b]) <= REACH) & (i[a] != i[b]) & _meet(m[a], m[b])
+        live[small[a[near]]] = live[small[b[near]]] = True
+    for r in np.flatnonzero(size > 16):
+        lo, hi = at[r], at[r + 1]
+        every = np.arange(lo, hi)
+        for h in np.array_split(every[kind[lo:hi] & OWN > 0], max(1, (hi - lo) // 512)):
+            if not len(h):
+                continue
+            near = (np.bitwise_count(sketch[h, None] ^ sketch[None, lo:hi]) <= REACH) & (ids[h, None] != ids[None, lo:hi]) & _meet(kind[h, None], kind[None, lo:hi])
+            live[h] |= near.any(1)
+            live[every[near.any(0)]] = True
+    some = np.flatnonzero(live)
+    if len(some):
+        yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (key, ids, kind)], ["key", "id", "kind"])
 
 
 def _forest(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -147,33 +236,30 @@ def _forest(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _verified(blocks: int, tables: int, least: float):
+def _verified(least: float):
     def handle(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = t.column("key2").to_numpy()
+        key, ids, n, kind = (t.column(c).to_numpy() for c in ("key", "id", "n", "kind"))
         at = runs(key)
-        ids, n, own, part = (t.column(c).to_numpy() for c in ("id", "n", "own", "part"))
-        table_no, i_of, j_of = (t.column(c).to_numpy() for c in ("t", "i", "j"))
         made: dict[int, Codes] = {}
         nodes, adds, src, dst = [], [], [], []
         vec = t.column("vec").combine_chunks()
         for lo, hi in zip(at, at[1:]):
-            if hi - lo < 2 or not own[lo:hi].any():
+            if hi - lo < 2:
                 continue
             for pos, x in matrix(vec.slice(lo, hi - lo)):
                 unit = _unit(x)
                 pos = pos + lo
-                homes = np.flatnonzero(own[pos])
-                pa_, pb_ = [], []
+                own = kind[pos] & OWN > 0
+                homes = np.flatnonzero(own)
+                left, right = [], []
                 for k in range(0, len(homes), 512):
                     h = homes[k : k + 512]
                     r, c = np.nonzero(unit[h] @ unit.T >= least - 1e-9)
                     r = h[r]
-                    good = (ids[pos[r]] != ids[pos[c]]) & (~own[pos[c]] | (ids[pos[r]] < ids[pos[c]]))
-                    if i_of[lo] != j_of[lo]:
-                        good &= part[pos[r]] != part[pos[c]]
-                    pa_.append(r[good])
-                    pb_.append(c[good])
-                a, b = np.concatenate(pa_ or [np.zeros(0, int)]), np.concatenate(pb_ or [np.zeros(0, int)])
+                    good = (ids[pos[r]] != ids[pos[c]]) & (~own[c] | (ids[pos[r]] < ids[pos[c]])) & _meet(kind[pos[r]], kind[pos[c]])
+                    left.append(r[good])
+                    right.append(c[good])
+                a, b = np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)])
                 if not len(a):
                     continue
                 # one pair at a time in a fixed order, so that a cosine doesn't depend on the cell
@@ -183,14 +269,15 @@ def _verified(blocks: int, tables: int, least: float):
                 if not len(a):
                     continue
                 used, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
-                code = made.setdefault(x.shape[1], Codes(x.shape[1], blocks, tables))
-                home, probes = code(unit[used])
+                code = made.setdefault(x.shape[1], Codes(x.shape[1]))
+                coded = [code(unit[used[k : k + ACTIVE]]) for k in range(0, len(used), ACTIVE)]
+                home, probes, sketch = (np.concatenate(c) for c in zip(*coded))
                 ia, ib = inverse[: len(a)], inverse[len(a) :]
-                now = int(table_no[lo])
-                first = np.ones(len(a), bool)
+                now = int(key[lo]) & 15
+                first = np.bitwise_count(sketch[ia] ^ sketch[ib]) <= REACH
                 for s in range(now):
                     first &= ~((home[ia, s] == home[ib, s]) | (probes[ia, s] == home[ib, s, None]).any(1) | (probes[ib, s] == home[ia, s, None]).any(1))
-                look = ~own[pos[b]]  # b looks into a's cell: that counts unless a also looks into b's and b has the smaller id
+                look = ~own[b]  # b looks into a's cell: that counts unless a also looks into b's and b has the smaller id
                 first &= ~look | ~(probes[ia, now] == home[ib, now, None]).any(1) | (ids[pos[a]] < ids[pos[b]])
                 ca, cb = a[first], b[first]
                 if len(ca):
@@ -213,34 +300,39 @@ def _verified(blocks: int, tables: int, least: float):
     return handle
 
 
-def lattice_links(embeddings: DataFrame, least: float = 0.95, blocks: int | None = None, tables: int | None = None) -> DataFrame:
+def _dealt(cells: DataFrame, large: DataFrame) -> DataFrame:
+    """Rows ``key, id, sketch, kind`` of tasks: those of a large cell in every pair of blocks that theirs belongs to."""
+    cells = cells.join(F.broadcast(large), "key", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("nb", F.lit(1))).cast("int"))
+    cells = cells.withColumn("o", F.explode(F.when(F.col("nb").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("nb") - 1))))
+    low, high = F.least("part", "o"), F.greatest("part", "o")
+    task = F.when(F.col("nb").isNull(), F.col("key")).otherwise(F.xxhash64("key", low, high).bitwiseAND(F.lit(-16)).bitwiseOR(F.col("key").bitwiseAND(F.lit(15))))
+    kind = F.col("own").cast("int") + F.when(low != high, ACROSS + F.when(F.col("part") == high, OTHER).otherwise(0)).otherwise(0)
+    return cells.select(task.alias("key"), "id", "sketch", kind.cast("byte").alias("kind"))
+
+
+def lattice_links(embeddings: DataFrame, least: float = 0.95) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row of ``embeddings``.
 
     ``n_links`` counts other rows linked directly (cosine of at least ``least`` in double
     precision), copies too. A vector that is null, empty, zero or holds a null or
     non-finite component links with nothing; vectors of different lengths never link. A
     row with a null vec_id stays, with no links and a null component. Repeated rows count
-    as rows. Further columns are ignored; an empty
-    table gives no rows.
+    as rows. Further columns are ignored; an empty table gives no rows.
     """
-    rows = embeddings.select(F.col("vec_id").cast("long"), "embedding")
-    known = rows.where("vec_id is not null")
-    cls = cut(classes(known))
-    count = cls.count()
-    blocks = blocks or min(3, 1 + max(0, math.ceil(math.log(max(count, 1) / LARGEST, GROWTH))))
-    tables = tables or TABLES[blocks]
-    base = cls.select("id", "n", "vec")
-    large = cut(base.mapInArrow(_cells(blocks, tables, False), "key long").groupBy("key").count().where(F.col("count") > CELL).select("key", F.ceil(F.col("count") / CELL).cast("int").alias("nb")))
-    large = F.broadcast(large) if large.count() <= FEW else large
-    cells = base.mapInArrow(_cells(blocks, tables, True), "key long, t int, own boolean, id long, n long, vec array<double>")
-    cells = cells.join(large, "key", "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
-    cells = cells.withColumn("part", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    cells = cells.select("t", "own", "id", "n", "vec", "part", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"), "key")
-    cells = cells.withColumn("key2", F.xxhash64("key", "t", "i", "j")).drop("key")
-    found = cut(sorted_by(cells, "key2").mapInArrow(by_run("key2", _verified(blocks, tables, least), 20_000), "id long, links long, src long, dst long, edge boolean"))
+    embeddings = embeddings.select("vec_id", "embedding")
+    cls = cut(classes(embeddings))
+    base = cls.select("id", "vec")
+    # At most TABLES homes a class, so at most MOST_LARGE cells have more than this many.
+    cell = max(CELL, -(-TABLES * cls.count() // MOST_LARGE))
+    large = cut(base.mapInArrow(_homes, "key long").groupBy("key").count().where(F.col("count") > cell).select("key", F.ceil(F.col("count") / cell).cast("int").alias("nb")))
+    cells = _dealt(base.mapInArrow(_cells, "key long, id long, sketch long, own boolean"), large)
+    close = sorted_by(cells, "key").mapInArrow(by_run("key", _close), "key long, id long, kind byte")
+    close = close.join(cls.select("id", "n", "vec"), "id").select("key", "id", "kind", "n", "vec")
+    found = cut(sorted_by(close, "key").mapInArrow(by_run("key", _verified(least), 20_000), "id long, links long, src long, dst long, edge boolean"))
     links = found.where("not edge").groupBy("id").agg(F.sum("links").alias("links"))
     comp = components(found.where("edge").select("src", "dst")).select(F.col("node").alias("id"), "component")
-    named = cut(cls.select("k1", "k2", "id", "n").join(links, "id", "left").join(comp, "id", "left").select("k1", "k2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
-    mine = keyed(known).select("vec_id", "k1", "k2").join(named, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
-    rest = rows.where(F.col("vec_id").isNull() | ~usable(F.col("embedding"))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return mine.unionByName(rest).select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    named = cls.select("key", "id", "n").join(links, "id", "left").join(comp, "id", "left")
+    named = cut(named.select("key", "n", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
+    rows = with_class(keyed(embeddings, all_rows=True), named, "key", "n", elsewhere("vec_id"))
+    out = rows.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
