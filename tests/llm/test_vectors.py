@@ -173,16 +173,40 @@ def test_search_with_copies_and_few(spark):
     assert ann.search(spark.createDataFrame([], VEC)).count() == 0
 
 
+def test_search_in_every_length(spark):
+    """Vectors of rare lengths take part; few rows in the cells probed make a query look further."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(v) for v in np.float32(rng.normal(size=d))]) for i, d in enumerate([8] * 400 + [5] * 45 + [3] * 30 + [1] * 25)]
+    got: dict = {}
+    for r in ann.search(spark.createDataFrame(rows, VEC)).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q, v in rows[::20]:
+        same = sorted(((-float(np.dot(np.array(v), np.array(w))), i) for i, w in rows if len(w) == len(v) and i != q))[:20]
+        assert len(got[q]) == 20
+        if len(v) != 8:
+            assert [i for i, _ in got[q]] == [i for _, i in same]
+
+
+def test_shards_change_nothing(spark, monkeypatch):
+    rows, _ = vectors(11, 1500, 16)
+    df = spark.createDataFrame(rows, VEC)
+    want = sorted(map(tuple, ann.search(df).collect()))
+    monkeypatch.setattr(ann, "SHARD", 40)
+    monkeypatch.setattr(ann, "LEAST", 10)
+    assert sorted(map(tuple, ann.search(df).collect())) == want
+
+
 def test_parallel_error_weighs_more():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 16))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     ix = ann.fit(x, 600, 10)
     cell = ix.cell(x)
+    assert ix.cells > 1 and np.allclose(ix.scores(x[:5]), x[:5] @ ix.centers(np.arange(ix.cells)).T)
     parallel = []
     for weight in (0.0, 8.0):
-        codes = ann._assign(ix.cut(x - ix.centers[cell]), ix.cut(x), ix.books, weight, None)
-        made = ix.centers[cell] + np.concatenate([ix.books[s][codes[:, s]] for s in range(len(ix.books))], 1)[:, :16]
+        codes = ann._assign(ix.cut(x - ix.centers(cell)), ix.cut(x), ix.books, weight, None)
+        made = ix.centers(cell) + np.concatenate([ix.books[s][codes[:, s]] for s in range(len(ix.books))], 1)[:, :16]
         parallel.append((((x - made) * x).sum(1) ** 2).mean())
     assert parallel[1] < parallel[0]
 
