@@ -163,10 +163,16 @@ def _steps(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
                 yield b, at, _unit(x)
 
 
+def _codes(made: dict[int, Codes], dim: int) -> Codes:
+    if dim not in made:
+        made[dim] = Codes(dim)
+    return made[dim]
+
+
 def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     made: dict[int, Codes] = {}
     for _, _, unit in _steps(batches, "vec"):
-        code = made.setdefault(unit.shape[1], Codes(unit.shape[1]))
+        code = _codes(made, unit.shape[1])
         yield pa.RecordBatch.from_arrays([pa.array(code.homes(unit).ravel())], ["key"])
 
 
@@ -174,7 +180,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``key, id, sketch, own``: one for a vector's own cell of each table and one for each cell it looks into."""
     made: dict[int, Codes] = {}
     for b, at, unit in _steps(batches, "vec"):
-        code = made.setdefault(unit.shape[1], Codes(unit.shape[1]))
+        code = _codes(made, unit.shape[1])
         home, probes, sketch = code(unit)
         key = np.concatenate([home[:, :, None], probes], 2).reshape(len(at), -1)
         width = key.shape[1]
@@ -239,47 +245,48 @@ def _forest(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _verified(least: float):
     def handle(t: pa.Table) -> Iterator[pa.RecordBatch]:
         key, ids, n, kind = (t.column(c).to_numpy() for c in ("key", "id", "n", "kind"))
-        at = runs(key)
         made: dict[int, Codes] = {}
         nodes, adds, src, dst = [], [], [], []
-        vec = t.column("vec").combine_chunks()
-        for lo, hi in zip(at, at[1:]):
-            if hi - lo < 2:
-                continue
-            for pos, x in matrix(vec.slice(lo, hi - lo)):
-                unit = _unit(x)
-                pos = pos + lo
-                own = kind[pos] & OWN > 0
+        for where, x in matrix(t.column("vec")):
+            every = _unit(x)
+            code = _codes(made, x.shape[1])
+            coded = [np.concatenate(c) for c in zip(*(code(every[k : k + ACTIVE]) for k in range(0, len(every), ACTIVE)))]
+            at = runs(key[where])
+            for lo, hi in zip(at, at[1:]):
+                if hi - lo < 2:
+                    continue
+                pos, unit = where[lo:hi], every[lo:hi]
+                home, probes, sketch = (c[lo:hi] for c in coded)
+                names, mine, now = ids[pos], kind[pos], int(key[pos[0]]) & 15
+                own = mine & OWN > 0
                 homes = np.flatnonzero(own)
                 left, right = [], []
                 for k in range(0, len(homes), 512):
                     h = homes[k : k + 512]
-                    r, c = np.nonzero(unit[h] @ unit.T >= least - 1e-9)
-                    r = h[r]
-                    good = (ids[pos[r]] != ids[pos[c]]) & (~own[c] | (ids[pos[r]] < ids[pos[c]])) & _meet(kind[pos[r]], kind[pos[c]])
-                    left.append(r[good])
+                    dot = unit[h] @ unit.T
+                    link = (dot >= least - 1e-9) & (np.bitwise_count(sketch[h, None] ^ sketch[None, :]) <= REACH) & _meet(mine[h, None], mine[None, :])
+                    link &= (names[h, None] != names[None, :]) & (~own[None, :] | (names[h, None] < names[None, :]))
+                    # only in the first cell where the two meet; if each looks into the other's cell, in that of the smaller id
+                    for s in range(now):
+                        if not link.any():
+                            break
+                        link &= home[h, s, None] != home[None, :, s]
+                        for p in range(probes.shape[2]):
+                            link &= (probes[h, s, p, None] != home[None, :, s]) & (probes[None, :, s, p] != home[h, s, None])
+                    if now < TABLES and link.any():
+                        both = (probes[h, now][:, :, None] == home[None, None, :, now]).any(1)
+                        link &= own[None, :] | ~both | (names[h, None] < names[None, :])
+                    r, c = np.nonzero(link)
+                    # near the threshold a cosine is summed in a fixed order, so that it doesn't depend on the cell
+                    edge = np.flatnonzero(dot[r, c] < least + 1e-9)
+                    low, high = np.minimum(h[r[edge]], c[edge]), np.maximum(h[r[edge]], c[edge])
+                    turned = names[low] > names[high]
+                    low, high = np.where(turned, high, low), np.where(turned, low, high)
+                    good = np.ones(len(r), bool)
+                    good[edge] = np.einsum("ij,ij->i", unit[low], unit[high]) >= least
+                    left.append(h[r[good]])
                     right.append(c[good])
-                a, b = np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)])
-                if not len(a):
-                    continue
-                # one pair at a time in a fixed order, so that a cosine doesn't depend on the cell
-                low, high = np.where(ids[pos[a]] < ids[pos[b]], a, b), np.where(ids[pos[a]] < ids[pos[b]], b, a)
-                cosine = np.concatenate([np.einsum("ij,ij->i", unit[low[k : k + 100_000]], unit[high[k : k + 100_000]]) for k in range(0, len(a), 100_000)])
-                a, b = a[cosine >= least], b[cosine >= least]
-                if not len(a):
-                    continue
-                used, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
-                code = made.setdefault(x.shape[1], Codes(x.shape[1]))
-                coded = [code(unit[used[k : k + ACTIVE]]) for k in range(0, len(used), ACTIVE)]
-                home, probes, sketch = (np.concatenate(c) for c in zip(*coded))
-                ia, ib = inverse[: len(a)], inverse[len(a) :]
-                now = int(key[lo]) & 15
-                first = np.bitwise_count(sketch[ia] ^ sketch[ib]) <= REACH
-                for s in range(now):
-                    first &= ~((home[ia, s] == home[ib, s]) | (probes[ia, s] == home[ib, s, None]).any(1) | (probes[ib, s] == home[ia, s, None]).any(1))
-                look = ~own[b]  # b looks into a's cell: that counts unless a also looks into b's and b has the smaller id
-                first &= ~look | ~(probes[ia, now] == home[ib, now, None]).any(1) | (ids[pos[a]] < ids[pos[b]])
-                ca, cb = a[first], b[first]
+                ca, cb = np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)])
                 if len(ca):
                     add = np.zeros(len(pos), np.int64)
                     np.add.at(add, ca, n[pos[cb]])
