@@ -300,15 +300,19 @@ def _best(ix: Index, q: np.ndarray, x: np.ndarray, columns: list[np.ndarray], pl
     for k, t in enumerate(ix.tables(q).transpose(1, 0, 2)):
         guess += np.take(t, columns[k], axis=1, out=add)
     guess[~allowed[:, place]] = -np.inf
-    who, row = np.nonzero(np.isfinite(guess))
+    may, length = np.isfinite(guess), np.sqrt((q * q).sum(1))
     if len(x) > max(FIRST, nearest):
         top = np.argpartition(-guess, FIRST, axis=1)[:, :FIRST]
         sure = np.einsum("qfd,qd->qf", x[top], q)
-        sure[~np.isfinite(np.take_along_axis(guess, top, 1))] = -np.inf
+        sure[~np.take_along_axis(may, top, 1)] = -np.inf
         least = -np.partition(-sure, nearest - 1, axis=1)[:, nearest - 1]
-        may = guess + np.sqrt((q * q).sum(1))[:, None] * missed[None, :] * (1 + 1e-9) >= least[:, None]
-        np.put_along_axis(may, top, True, 1)
-        who, row = np.nonzero(may & np.isfinite(guess))
+        may &= guess + length[:, None] * missed[None, :] * (1 + 1e-9) >= least[:, None]
+        some = np.flatnonzero(may.any(0))
+        near = np.full(may.shape, -np.inf)
+        near[:, some] = np.where(may[:, some], q @ (x if len(some) == len(x) else x[some]).T, -np.inf)
+        room = 1e-12 * length * np.sqrt((x * x).sum(1).max())  # these products may be rounded in another order
+        may &= near >= (-np.partition(-near, nearest - 1, axis=1)[:, nearest - 1] - room)[:, None]
+    who, row = np.nonzero(may)
     score = np.concatenate([np.einsum("ij,ij->i", x[row[k : k + 50_000]], q[who[k : k + 50_000]]) for k in range(0, len(who), 50_000)] or [np.zeros(0)])
     order = np.lexsort((ids[row], -score, who))
     who, row, score = who[order], row[order], score[order]
