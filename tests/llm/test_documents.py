@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.fixtures import DOCS, documents, empty, texts
-from tidemark.llm import bpe, licenses, mixing, pii, repeats, simhash, toxicity
+from tidemark.llm import bpe, common, licenses, mixing, pii, repeats, simhash, toxicity
 from tidemark.llm.common import components
 
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -287,22 +287,65 @@ def test_index_statistics_like_brute_force():
 # Mixing and licences
 
 
-def test_mixing_meets_its_targets(spark):
+def plain_rake(cells: dict, want: dict, rounds: int = 300) -> dict:
+    w = {k: float(v) for k, v in cells.items()}
+    for _ in range(rounds):
+        for i, d in enumerate(mixing.DIMS):
+            have: dict = {}
+            for k, v in w.items():
+                have[k[i]] = have.get(k[i], 0) + v
+            w = {k: v * want[d][k[i]] / have[k[i]] if have[k[i]] else 0.0 for k, v in w.items()}
+    return w
+
+
+def test_raking_against_brute_force(spark):
+    docs = documents(spark, texts(1, 400))
+    cells = mixing.cells_of(mixing.described(docs))
+    for shares in (None, {"source": {"s0": 0.25, "s1": 0.75, "(none)": 0.0}}, {"lang": {"en": 1.0}}):
+        raked, gap = mixing.rake(cells, shares)
+        assert gap <= mixing.CLOSE
+        rows = raked.collect()
+        tokens = {tuple(r[d] for d in mixing.DIMS): r.tokens for r in rows if r.tokens}
+        want = {}
+        for i, d in enumerate(mixing.DIMS):
+            own: dict = {}
+            for k, v in tokens.items():
+                own[k[i]] = own.get(k[i], 0) + v
+            raw = {k: (shares[d].get(k, 0.0) if shares and d in shares else v**0.5) for k, v in own.items()}
+            want[d] = {k: v / sum(raw.values()) for k, v in raw.items()}
+        plain = plain_rake(tokens, want)
+        assert {tuple(r[d] for d in mixing.DIMS): r.share for r in rows if r.tokens} == pytest.approx(plain, abs=1e-9)
+
+
+def test_targets_that_nothing_meets_are_reported(spark):
+    rows = [(1, "one", "en", "a", 0), (2, "two", "es", "b", 0)]
+    cells = mixing.cells_of(mixing.described(documents(spark, rows)))
+    assert mixing.rake(cells, {"lang": {"en": 0.9, "es": 0.1}, "source": {"a": 0.5, "b": 0.5}}, rounds=5)[1] > 0.1
+
+
+def test_mixing_without_copies_meets_its_targets(spark):
     docs = documents(spark, texts(1, 400))
-    shares = {"source": {"s0": 0.25, "s1": 0.75, "(none)": 0.0}}
-    cells = mixing.described(docs).groupBy(*mixing.DIMS).agg(F.sum("n_tokens").alias("tokens"))
-    raked = mixing.rake(cells, shares, rounds=40).toPandas()
-    by = raked.groupby("source").w.sum() / raked.w.sum()
-    assert by["s0"] == pytest.approx(0.25, abs=1e-6) and by["s1"] == pytest.approx(0.75, abs=1e-6)
     got = mixing.mixed(docs).toPandas()
-    assert len(got) == docs.count() and ((got.probability >= 0) & (got.probability <= 1)).all()
-    expected = (got.probability * got.n_tokens).sum() / got.n_tokens.sum()
-    assert expected == pytest.approx(mixing.FRACTION, abs=0.01)
+    assert len(got) == docs.count() and got.expected.max() <= 1 and set(got["copies"]) <= {0, 1}
+    for d in mixing.DIMS:
+        own = got.groupby(d).n_tokens.sum() ** 0.5
+        have = (got.expected * got.n_tokens).groupby(got[d]).sum()
+        assert (have / have.sum()).to_dict() == pytest.approx((own / own.sum()).to_dict(), abs=1e-4)
     kept = mixing.sample(docs)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(got[got.sampled].doc_id) and kept.columns == docs.columns
     assert mixing.mixed(empty(spark)).count() == 0 and mixing.sample(empty(spark)).count() == 0
 
 
+def test_many_cells_are_joined_alike(spark, monkeypatch):
+    docs = documents(spark, texts(1, 200) + [(None, "x y", None, None, 0)])
+    want = sorted(map(str, mixing.mixed(docs, repeat=True).collect()))
+    kept = sorted(r.doc_id or -1 for r in mixing.sample(docs, repeat=True).collect())
+    monkeypatch.setattr(mixing, "FEW_CELLS", 0)
+    monkeypatch.setattr(common, "HOT", 10)
+    assert sorted(map(str, mixing.mixed(docs, repeat=True).collect())) == want
+    assert sorted(r.doc_id or -1 for r in mixing.sample(docs, repeat=True).collect()) == kept
+
+
 def test_repeated_mixing_meets_skewed_targets(spark):
     rows = [(k, "word " * 50 + ("" if k % 20 else " licence"), ["en", "en", "en", "es"][k % 4], ["a", "a", "b"][k % 3], 0) for k in range(2400)]
     docs = documents(spark, rows)
