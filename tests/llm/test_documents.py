@@ -494,11 +494,65 @@ file, You can obtain one at https://mozilla.org/MPL/2.0/.
 """
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software.
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+STYLES = [lambda t: t, lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.splitlines()) + " */\n", lambda t: "".join(f"# {x}\r\n" for x in t.splitlines()), lambda t: "".join(f"// {x}\n" for x in t.splitlines()), lambda t: " ".join(t.split())]
+
+
+def wrapped(sentence: str, width: int = 60) -> str:
+    import textwrap
+
+    return "\n".join(textwrap.wrap(sentence.capitalize(), width)) + ".\n"
+
+
 def test_wrapped_licence_texts(spark):
-    want = [(MIT, "1,2,3,4", "MIT"), (APACHE, "11,12,13,14", "Apache-2.0"), (GPL, "15,17,18", "GPL-3.0-or-later"), (ISC, "31", "ISC"), (MPL, "32", "MPL-2.0")]
-    styles = [lambda t: t, lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.splitlines()) + " */\n", lambda t: "".join(f"# {x}\r\n" for x in t.splitlines()), lambda t: " ".join(t.split())]
-    rows = [(10 * k + j, f(t), None, None, 0) for k, (t, _, _) in enumerate(want) for j, f in enumerate(styles) if j < 3 or t not in (MIT, APACHE)]  # on one line nothing ends their parts
+    want = [(MIT, "1,2,3,4", "MIT"), (APACHE, "11,12,13,14", "Apache-2.0"), (GPL, "15,17,18", "GPL-3.0-or-later"), (ISC, "31", "ISC"), (MPL, "32,70", "MPL-2.0"), (BSD, "5,6,7,9", "BSD-2-Clause"), (ZLIB, "83,84,85,86", "Zlib"), (LGPL, "60", "LGPL-2.1-or-later")]
+    rows = [(10 * k + j, f(t), None, None, 0) for k, (t, _, _) in enumerate(want) for j, f in enumerate(STYLES) if j < 4 or t is not APACHE]  # on one line its short sentences have no end
     rows += [(1000, "Notes\nReleased under the MIT License\nmore words", None, None, 0), (1001, "He released under the MIT License what he had.", None, None, 0)]
+    rows += [(1002, "// SPDX-License-Identifier: GPL-2.0-only\nint x;", None, None, 0), (1003, "This project is distributed under the terms of the Mozilla Public License 2.0.", None, None, 0), (1004, "long text " * 20_000 + "\n" + MIT, None, None, 0)]
     got = {r.doc_id: (r.sentence_ids, r.licenses) for r in licenses.license_scan(documents(spark, rows)).collect()}
     assert {i: got[i] for i in got if i < 1000 and got[i] != want[i // 10][1:]} == {}
-    assert got[1000] == ("21", "MIT") and got[1001] == ("", "")
+    assert got[1000] == ("21", "MIT") and got[1001] == ("", "") and got[1002] == ("=GPL-2.0-only", "GPL-2.0-only") and got[1003] == ("=MPL-2.0", "MPL-2.0") and got[1004][1] == "MIT"
+
+
+def test_every_licence_in_every_form(spark):
+    """Each rule's sentences wrapped, commented and, where all of them are long, on one line; each name in a notice; each tag."""
+    s = dict(licenses.SENTENCES)
+    assert len(licenses.LICENSES) >= 45 and all(any(t in x for t in licenses.TRIGGERS) for x in [*s.values(), licenses.SPDX, *(f"licensed under {n}" for n in licenses.NAMES)])
+    cases = []
+    for name, ids in licenses.RULES:
+        text = "\n".join(wrapped(s[i]) for i in ids)
+        every = all(len(s[i].split()) >= licenses.LONG for i in ids)
+        cases += [(f(text), name) for f in (STYLES if every else STYLES[:4])]
+    cases += [(f"Licensed under the {k}.", v) for k, v in licenses.NAMES.items()] + [(f"# SPDX-License-Identifier: {n}\n", n) for n in licenses.LICENSES]
+    got = {r.doc_id: r.licenses for r in licenses.license_scan(documents(spark, [(k, t, None, None, 0) for k, (t, _) in enumerate(cases)])).collect()}
+    assert {cases[k]: v for k, v in got.items() if v.split("-only")[0].split("-or-")[0] != cases[k][1].split("-only")[0].split("-or-")[0]} == {}
