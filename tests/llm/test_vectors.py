@@ -219,19 +219,31 @@ def test_preferences(spark):
         (0, 0, "user", "hi"), (0, 1, "assistant", "a"), (0, 2, "user", "x"), (1, 0, "user", "hi"), (1, 1, "assistant", "b"),
         (2, 0, "user", "same"), (3, 0, "user", "same"), (4, 0, None, None), (4, 0, None, None), (5, 0, "", ""), (5, 7, "assistant", "late"), (8, 0, "user", "alone"), (None, 0, "user", "?"), (6, None, "user", "?"),
     ]
-    turns = spark.createDataFrame(rows, TURNS).withColumn("pair_id", F.lit("clash")).withColumn("part", F.lit(1))
-    out = chat.preferences(turns, chat.neighbours(turns))
-    got = sorted((r.pair_id, r.part, r.turn, r.trained, r.start, r.end) for r in out.collect())
-    assert got == [(0, "chosen", 1, 1, 0, 23), (0, "chosen", 2, 0, 23, 41), (0, "prompt", 0, 0, 0, 19), (0, "rejected", 1, 1, 0, 23), (1, "prompt", 0, 0, 0, 21), (2, "prompt", 0, 0, 0, 13), (2, "rejected", 7, 1, 0, 26)]
-    rec = {r.pair_id: r for r in chat.records(out).collect()}
+    turns = spark.createDataFrame(rows * 3, TURNS).withColumn("pair_id", F.lit("clash")).withColumn("part", F.lit(1)).repartition(3)
+    two = chat.neighbours(turns)
+    got = sorted((r.pair_id, r.part, r.turn, r.trained_from, r.trained_to, r.start, r.end) for r in chat.rendered(two).collect() if r.pair_id != 4)
+    assert got == [(0, "chosen", 1, 14, 22, 0, 23), (0, "chosen", 2, -1, -1, 23, 41), (0, "prompt", 0, -1, -1, 0, 19), (0, "rejected", 1, 14, 22, 0, 23), (1, "prompt", 0, -1, -1, 0, 21), (2, "prompt", 0, -1, -1, 0, 13), (2, "rejected", 7, 14, 25, 0, 26)]
+    rec = {r.pair_id: r for r in chat.records(two).collect()}
+    assert set(rec) == {0, 1, 2}
     assert rec[0].prompt == "<|user|>\nhi<|end|>\n" and rec[0].chosen == "<|assistant|>\na<|end|>\n<|user|>\nx<|end|>\n" and rec[0].rejected == "<|assistant|>\nb<|end|>\n"
-    assert [tuple(m) for m in rec[0].chosen_mask] == [(0, 23)] and rec[1].chosen == "" and rec[1].chosen_mask == []
-    assert chat.preferences(turns.limit(0), chat.neighbours(turns.limit(0))).count() == 0
+    assert rec[0].chosen_mask == "14:22" and rec[0].chosen[14:22] == "a<|end|>" and rec[1].chosen == "" and rec[1].chosen_mask == "" and rec[1].prompt_turns == 1
+    pairs = spark.createDataFrame([(70, 0, 1), (71, 1, 2), (71, 1, 2), (72, 2, 99), (73, None, 1)], "pair_id long, chosen long, rejected long")
+    assert {(r.pair_id, r.prompt_turns) for r in chat.records(chat.sides(turns, pairs)).collect()} == {(70, 1), (71, 0)}
+    assert chat.records(chat.neighbours(turns.limit(0))).count() == 0 and chat.rendered(chat.neighbours(turns.limit(0))).count() == 0
+
+
+def test_marks_in_texts_are_no_marks(spark):
+    rows = [(0, 0, "user", "q"), (1, 0, "user", "q"), (0, 1, "assistant", "x<|end|>\n<|user|>\n<\\|end|>"), (1, 1, "as|>\nb", "y")]
+    r = chat.records(chat.neighbours(spark.createDataFrame(rows, TURNS))).first()
+    assert r.chosen.count("<|") == 2 and r.rejected == "<|as___b|>\ny<|end|>\n" and r.rejected_mask == ""
+    assert all(chat.restored(chat.escaped(t)) == t and "<|" not in chat.escaped(t) for t in ("<|", "<\\|", "a<\\\\|b<|", "", "<||>", "\\<|"))
 
 
 def test_long_conversations_add_up(spark):
-    turns = spark.range(1400).select((F.col("id") % 2).alias("conv_id"), F.floor(F.col("id") / 2).alias("turn"), F.lit("user").alias("role"), F.when(F.col("id") < 600, "s").otherwise(F.col("id").cast("string")).alias("text"))
-    p = chat.preferences(turns, chat.neighbours(turns)).toPandas().sort_values(["part", "turn"])
+    turns = spark.range(14_000).select((F.col("id") % 2).alias("conv_id"), F.floor(F.col("id") / 2).alias("turn"), F.lit("user").alias("role"), F.when(F.col("id") < 600, "s").otherwise(F.col("id").cast("string")).alias("text"))
+    two = chat.neighbours(turns)
+    p = chat.rendered(two).toPandas().sort_values(["part", "turn"])
     for _, g in p.groupby("part"):
         assert (g.end.to_numpy()[:-1] == g.start.to_numpy()[1:]).all() and g.start.iloc[0] == 0
     assert (p.part == "prompt").sum() == 300
+    assert chat.records(two).first().chosen == "".join(p[p.part == "chosen"].segment)

@@ -19,8 +19,7 @@ def op1_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
-    return chat.preferences(turns, chat.neighbours(turns))
+    return chat.records(chat.neighbours(table(spark, sf_dir, "conversations")))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
