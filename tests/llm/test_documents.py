@@ -93,9 +93,25 @@ def test_simhash_keeps_one_of_each_group(spark):
     kept = simhash.simhash_keep(documents(spark))
     want = {k for k, v in plain_components([r[0] for r in texts()], [plain_fingerprint(r[1]) for r in texts()]).items() if k == v}
     assert {r.doc_id for r in kept.collect()} == want and "fp" in kept.columns
+    odd = [(5, "a b c d", None, None, 0), (5, "a b c d", None, None, 0), (7, "a b c d", None, None, 0), (None, "a b c d", None, None, 0), (9, None, None, None, 0), (11, " ", None, None, 0)]
+    assert sorted((r.doc_id is None, r.doc_id) for r in simhash.simhash_keep(documents(spark, odd)).collect()) == [(False, 5), (False, 5), (False, 9), (True, None)]
     assert simhash.simhash_components(empty(spark)).count() == 0 and simhash.simhash_keep(empty(spark)).count() == 0
 
 
+def test_frequent_fingerprints_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 3)
+    rows = texts() + [(k, "the same words in every one of these", "en", "s", 0) for k in range(3000, 3040)]
+    got = rows_of(simhash.simhash_components(documents(spark, rows)))
+    assert {k: r.component_id for k, r in got.items()} == plain_components([r[0] for r in rows], [plain_fingerprint(r[1]) for r in rows])
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    text = " ".join(t[1] or "" for t in texts())
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "PIECE", 50)
+    assert simhash.fingerprint(text) == whole == plain_fingerprint(text)
+
+
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (8, 7), (5, 5), (None, 1), *((100, k) for k in range(101, 300)), *((k, k + 1) for k in range(1000, 1100))], "src long, dst long")
     got = {r.node: r.component for r in components(e).collect()}
@@ -413,6 +429,57 @@ def test_toxicity_on_held_out_rows(spark):
     assert 0.7 < clean.count() / len(docs) < 0.9 and "fp" in clean.columns
 
 
+def plain_features(lexicon, text) -> list[float]:
+    """The features from their definitions, word by word."""
+    low = text.lower()
+    words = re.findall(r"\w+", low)
+    weight = []
+    for w in words:
+        v = lexicon.weights.get(w)
+        weight.append(v if v is not None else -max([lexicon.weights.get("^" + w[:n], 0.0) for n in toxicity.BEGINNINGS if len(w) > n] or [0.0]))
+    hits = [i for i, v in enumerate(weight) if v]
+    you = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+    near = sum(any(abs(i - j) <= toxicity.NEAR for j in you) for i in hits)
+    n, letters, size = max(len(words), 1), max(sum(c.isascii() and c.isalpha() for c in text) + sum(b in (0xC3, 0xC4) for b in text.encode()), 1), max(len(text), 1)
+    caps = sum("A" <= c <= "Z" for c in text)
+    points = sum(c.isascii() and 33 <= ord(c) < 127 and not c.isalnum() for c in text)
+    stretched = sum(a == b == c and "a" <= a <= "z" for a, b, c in zip(text, text[1:], text[2:]))
+    runs = len(re.findall(r"[!?]{2,}", text))
+    total = sum(abs(weight[i]) for i in hits)
+    return [np.log1p(len(words)), len(hits) / n, len(hits), total / n, max([abs(weight[i]) for i in hits] or [0.0]), len({words[i] for i in hits}), sum(weight[i] < 0 for i in hits) / n, near / max(len(hits), 1), len(you) / n, caps / letters, len(re.findall(r"\b[A-Z]{3,}\b", text)) / n, text.count("!") / size, text.count("?") / size, points / size, runs / n, stretched / letters]
+
+
+@pytest.mark.parametrize("step", [toxicity.STEP, 40, 7])
+def test_features_against_brute_force(monkeypatch, step):
+    import random
+
+    monkeypatch.setattr(toxicity, "STEP", step)
+    rng = random.Random(step)
+    words = ["you", "du", "grobo", "snarfig", "snarfigs", "STOP", "nooo", "ok!!", "why?!", "plain", "ÄRGER", "tu", "été", "a.b"]
+    lexicon = toxicity.Lexicon({"grobo": 2.0, "^snar": 1.0, "snarfig": 3.0, "stop": 0.5})
+    for _ in range(300):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", "\n", "  "]) for _ in range(rng.randint(0, 60)))
+        got = dict(zip(toxicity.FEATURES, lexicon.features(text)))
+        del got["obfuscated"], got["obfuscated_hits"]
+        assert list(got.values()) == pytest.approx(plain_features(lexicon, text)), text
+
+
+def test_every_lexicon_word_counts_once():
+    lexicon = toxicity.Lexicon({f"w{k}": 1.0 for k in range(3000)})
+    got = dict(zip(toxicity.FEATURES, lexicon.features(" ".join(f"w{k}" for k in range(3000)) * 2)))
+    assert got["distinct"] == 3000 + 0 and got["hits"] >= 5998
+
+
+def test_toxic_rows_go_whatever_else_they_hold(spark):
+    docs, labels = toxic_fixture(600)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    odd = [(9000, None, None, None, 0), (9001, "", None, None, 0), (None, "grobo snarfig grobo snarfig grobo", None, None, 0), (docs[0][0], docs[0][1], None, None, 0)]
+    scored = toxicity.toxicity(documents(spark, docs + odd), lab).toPandas()
+    kept = toxicity.clean(documents(spark, docs + odd), lab)
+    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == sorted(int(x) if x == x else -1 for x in scored[scored.score < 0.7].doc_id.astype(float))
+    assert kept.columns == documents(spark, docs).columns and toxicity.clean(empty(spark), lab).count() == 0
+
+
 def test_toxicity_without_classes(spark):
     docs = documents(spark, texts())
     none = spark.createDataFrame([], "doc_id long, toxic int")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_run, components, cut, runs, sorted_by
+from tidemark.llm.common import by_run, components, cut, runs, sorted_by, with_class
 
 PIECE = 4 << 20  # bytes of a text held as words at a time
 LONG_RUN = 1 << 16  # fingerprints of one variant that are compared in one go
@@ -157,23 +157,23 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Da
     component unless it stands alone (then null). An empty table gives no rows.
     """
     docs = cut(fingerprints(docs, shingle))
-    nodes = docs.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    nodes = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
     comp = components(links(nodes, radius)).select(F.col("node").alias("fp"), "component")
-    named = nodes.join(comp, "fp", "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
+    named = nodes.join(comp, "fp", "left").select("fp", "rep", "n", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = cut(named.join(least, "component").select("fp", "component_id"))
-    return docs.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-FEW_DROPPED = 500_000  # doc_ids whose list is broadcast, at most
+    named = cut(named.join(least, "component").select(F.col("fp").alias("key"), "n", "component_id"))
+    found = with_class(docs.withColumn("key", F.col("fp")), named, "key", "n", F.xxhash64("doc_id"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def simhash_keep(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """The documents that are the smallest doc_id of their component, columns unchanged.
 
-    Rows with a null doc_id stay, and so do repeated rows of a kept doc_id. Texts aren't
-    shuffled where few documents go.
+    A null text counts as empty, texts without words are copies of each other. Rows with a
+    null doc_id stay, and so do repeated rows of a kept doc_id; an empty table gives no
+    rows. Whole rows are joined by doc_id with those that go, the same way at every size.
     """
-    gone = cut(simhash_components(docs.select("doc_id", "text"), shingle, radius).where("doc_id <> component_id").select("doc_id").distinct())
-    gone = F.broadcast(gone) if gone.count() <= FEW_DROPPED else gone
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = simhash_components(docs.select("doc_id", "text"), shingle, radius).where("doc_id <> component_id").select(F.col("doc_id").alias("gone of simhash")).distinct()
+    there = docs.where("doc_id is not null")
+    kept = there.join(gone.hint("merge"), there["doc_id"].cast("long") == gone["gone of simhash"], "left_anti")
+    return kept.unionByName(docs.where("doc_id is null"))

@@ -45,18 +45,40 @@ _WORD = re.compile(r"\w+")
 _DISGUISED = re.compile(r"[0-9@$*!|._-](?=[a-z])")
 _SHOUT = re.compile(r"\b[A-Z]{3,}\b")
 _RUN = re.compile(r"[!?]{2,}")
+_SPACE = re.compile(r"\s")
 
 
 def _steps(text: str) -> Iterator[str]:
+    """The text in pieces of ``STEP`` characters, each up to the next white space, so that no word is cut."""
     at = 0
     while at < len(text):
         end = min(len(text), at + STEP)
-        if end < len(text) and (space := text.rfind(" ", at, end)) > at:
-            end = space
+        if end < len(text):
+            end = m.start() if (m := _SPACE.search(text, end)) else len(text)
         yield text[at:end]
         at = end
 
 
+class _Near:
+    """Counts lexicon words with a second-person word at most ``NEAR`` words away, over pieces of a text."""
+
+    def __init__(self) -> None:
+        self.count, self.words = 0, 0
+        self.hits = self.you = np.zeros(0, np.int64)
+
+    def add(self, words: int, hits: np.ndarray, you: np.ndarray, last: bool = False) -> None:
+        """A piece of so many words, and the places of both kinds in it. Hits near its end wait for the next piece."""
+        self.hits, self.you = np.concatenate([self.hits, hits + self.words]), np.concatenate([self.you, you + self.words])
+        self.words += words
+        sure = len(self.hits) if last else int(np.searchsorted(self.hits, self.words - NEAR))
+        h, y = self.hits[:sure], self.you
+        if len(h) and len(y):
+            k = np.searchsorted(y, h)
+            gap = np.minimum(np.abs(y[np.minimum(k, len(y) - 1)] - h), np.abs(y[np.maximum(k - 1, 0)] - h))
+            self.count += int((gap <= NEAR).sum())
+        self.hits, self.you = self.hits[sure:], y[np.searchsorted(y, self.words - 2 * NEAR) :]
+
+
 def terms(text: str) -> set[str]:
     """What a text offers the lexicon: words, and beginnings of longer words with a ``^``."""
     words = {w for t in _steps(text) for w in _WORD.findall(t.lower()) if 2 < len(w) < 40}
@@ -78,9 +100,10 @@ class Lexicon:
         return found
 
     def features(self, text: str) -> list[float]:
-        n = hits = begun = second = near = caps = letters = shouts = bangs = asks = points = marks = odd = odd_hits = long = size = 0
+        n = hits = begun = second = caps = letters = shouts = bangs = asks = points = marks = odd = odd_hits = long = size = 0
         total = top = 0.0
         found: set[str] = set()
+        near = _Near()
         get, of = self.seen.get, self.of
         for piece in _steps(text):
             low = piece.lower()
@@ -90,17 +113,13 @@ class Lexicon:
             at = np.flatnonzero(w)
             you = np.array([i for i, x in enumerate(words) if x in SECOND_PERSON], np.int64)
             second += len(you)
+            near.add(len(words), at, you)
             if len(at):
                 hits += len(at)
                 begun += int((w[at] < 0).sum())
                 total += float(np.abs(w[at]).sum())
                 top = max(top, float(np.abs(w[at]).max()))
-                if len(found) < 1000:
-                    found.update(words[i] for i in at[:1000])
-                if len(you):
-                    k = np.searchsorted(you, at)
-                    gap = np.minimum(np.abs(you[np.minimum(k, len(you) - 1)] - at), np.abs(you[np.maximum(k - 1, 0)] - at))
-                    near += int((gap <= NEAR).sum())
+                found.update(words[i] for i in at)
             done = -1
             for m in _DISGUISED.finditer(low):
                 if m.start() < done or not m.start() or not low[m.start() - 1].isalpha():
@@ -121,8 +140,10 @@ class Lexicon:
             marks += len(_RUN.findall(piece)) if c[33] + c[63] > 1 else 0
             if len(data) > 2:
                 long += int(((data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & (data[2:] >= 97) & (data[2:] < 123)).sum())
+        none = np.zeros(0, np.int64)
+        near.add(0, none, none, last=True)
         n1, l1, s1 = max(n, 1), max(letters, 1), max(size, 1)
-        return [math.log1p(n), hits / n1, hits, total / n1, top, len(found), begun / n1, near / max(hits, 1), second / n1, caps / l1, shouts / n1, bangs / s1, asks / s1, points / s1, marks / n1, odd / n1, odd_hits, long / l1]
+        return [math.log1p(n), hits / n1, hits, total / n1, top, len(found), begun / n1, near.count / max(hits, 1), second / n1, caps / l1, shouts / n1, bangs / s1, asks / s1, points / s1, marks / n1, odd / n1, odd_hits, long / l1]
 
 
 class Trees:
@@ -283,8 +304,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row of ``docs``.
 
-    ``score`` depends on the text alone. A null text counts as empty and gets a score like
-    any other. Repeated rows and further columns change nothing; a null doc_id has a null
+    ``score`` depends on the text alone, the whole of it, however long. A null text counts
+    as empty and gets a score like any other; a score of exactly ``threshold`` predicts 1.
+    Repeated rows and further columns change nothing; a null doc_id has a null
     ``held_out``; an empty table gives no rows.
     """
     model = fit(docs, labels, max_labelled)
@@ -300,7 +322,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, m
 
 
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, columns unchanged, in one pass over the texts."""
+    """The rows of ``docs`` that score below the threshold, columns unchanged, in one pass over the texts.
+
+    A null text counts as empty, a score of exactly ``threshold`` goes; repeated rows go or
+    stay alike, a null doc_id changes nothing; an empty table gives no rows. Without
+    labelled rows nothing goes.
+    """
     model = fit(docs, labels)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
