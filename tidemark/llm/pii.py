@@ -6,9 +6,14 @@ character that it writes, the source span it came from:
 
 1. look-alike letters, digits and signs of other scripts become ASCII ones, invisible
    characters vanish;
-2. bracketed or spelled ``at`` and ``dot`` become ``@`` and ``.``;
-3. runs of spelled digits (English, German, Spanish, French) become digits, a leading
-   spelled plus sign becomes ``+``.
+2. signs of an address that are set apart one by one are joined;
+3. bracketed or spelled ``at`` and ``dot`` become ``@`` and ``.``;
+4. letters that stand for digits within a number become digits;
+5. runs of spelled digits (English, German, Spanish, French), written ones among them,
+   become digits, a leading spelled plus sign becomes ``+``.
+
+Each transducer looks at every place of the text; none has a window, and all take linear
+time. What was written is kept as segments, so memory grows with the number of edits.
 
 The detectors run again on what was written, and spans are mapped back to the source. A
 found span counts where it overlaps no base span of its kind. Base spans always stay.
@@ -19,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -130,24 +136,36 @@ DIGIT_WORDS = {
         "zéro un deux trois quatre cinq six sept huit neuf",
     )
     for i, w in enumerate(words.split())
-}
+} | {"oh": "0"}
 AT_WORDS, DOT_WORDS = ("at", "arroba", "ät"), ("dot", "punkt", "punto", "point")
+PLUS_WORDS = ("plus", "más", "mas")
+# Letters that are written for digits, fixed values.
+LETTERS = {"O": "0", "o": "0", "I": "1", "l": "1", "S": "5", "B": "8", "Z": "2"}
 
 _W = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _D = "|".join(DOT_WORDS)
 _A = "|".join(AT_WORDS)
+_P = "|".join(PLUS_WORDS)
 _LOOK = re.compile(_any_of("".join(LOOKALIKES)))
-_BRACKET = re.compile(rf"\s{{0,20}}(?:\[\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*\]|\(\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*\)|\{{\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*\}}|<\s*(?:(at|@|arroba|ät)|(?:{_D}|\.))\s*>)\s{{0,20}}", re.I)
-_LABELS = r"[A-Za-z0-9-]++(?:(?:\.|\s{1,20}(?:" + _D + r")\s{1,20})[A-Za-z0-9-]++)*\s{1,20}(?:" + _D + r")\s{1,20}[A-Za-z]{2,24}\b"
-_LOCAL_WORDS = r"[A-Za-z0-9_%+-]+(?:(?:\.|\s+(?:" + _D + r")\s+)[A-Za-z0-9_%+-]+)*"
-_AT_END = re.compile(rf"(?:\s{{1,20}}(?:{_A})\s{{1,20}}|\s{{0,20}}@\s{{0,20}})(?={_LABELS})", re.I)
-_AT_LITERAL = re.compile(rf"(?<=[A-Za-z0-9])(?:\s+(?:{_A})\s+|\s+@\s*|\s*@\s+)(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)", re.I)
-_DOT_WORD = re.compile(rf"\s{{1,20}}(?:{_D})\s{{1,20}}", re.I)
-_SPELLED = re.compile(rf"(?<!\w)(?:(?:plus|más|mas)[\s-]+)?(?:{_W})(?:[\s,-]+(?:{_W}|{_D})){{3,}}(?!\w)", re.I)
-_TOKEN = re.compile(rf"plus|más|mas|{_W}|{_D}", re.I)
-_IN_BRACKETS = re.compile(rf"[\[({{<]\s*(?:{_A}|@|{_D}|\.)\s*[\])}}>]", re.I)
+# White space is taken from its beginning on and as a whole, so that long runs of it are looked at once.
+_RUN = r"(?<!\s)\s++"
+_INNER = rf"\s*+(?:(@|{_A})|(?:{_D}|\.))\s*+"
+_BRACKET = re.compile(rf"(?:{_RUN})?+(?:\[{_INNER}\]|\({_INNER}\)|\{{{_INNER}\}}|<{_INNER}>)\s*+", re.I)
+_LABELS = re.compile(rf"[A-Za-z0-9-]++(?:(?:\.|\s++(?:{_D})\s++)[A-Za-z0-9-]++)*\s++(?:{_D})\s++[A-Za-z]{{2,}}+\b", re.I)
+_AT_END = re.compile(rf"{_RUN}(?:{_A})\s++|(?:{_RUN})?+@\s*+", re.I)
+_AT_LITERAL = re.compile(rf"(?<=[A-Za-z0-9])(?:\s++(?:{_A})\s++|\s++@\s*+|@\s++)(?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)", re.I)
+_DOT_WORD = re.compile(rf"\s++(?:{_D})\s++", re.I)
+_LOOKS_LOCAL = re.compile(r"[0-9_]|[A-Za-z0-9][.+%-][A-Za-z0-9]")
+_SPELLED = re.compile(rf"(?<!\w)(?:(?:{_P})[\s-]++)?(?:{_W}|[0-9]++)(?!\w)(?:[\s,-]++(?:{_W}|{_D}|[0-9]++)(?!\w)){{3,}}+", re.I)
+_TOKEN = re.compile(rf"(?:{_P}|{_W}|{_D}|[0-9]++)(?!\w)", re.I)
+_LETTERED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIlSBZ](?:[ ().-]{0,2}+[0-9OoIlSBZ]){6,}+")
+_LETTER = re.compile("[OoIlSBZ]")
+_IN_BRACKETS = re.compile(rf"[\[({{<]\s*+(?:{_A}|@|{_D}|\.)\s*+[\])}}>]", re.I)
 _SPACED_SIGN = re.compile(r"\s@|@\s")
-_BEFORE_DOMAIN = re.compile(rf"\s(?:{_A})\s+[a-z0-9-]+\.[a-z0-9]")
+_SPOKEN_DOT = re.compile(rf"\s(?:{_D})\s")
+_BEFORE_DOMAIN = re.compile(rf"\s(?:{_A})\s++[a-z0-9-]++\.[a-z0-9]")
+_NEAR_DIGIT = re.compile(r"[0-9][ ().-]{0,2}[OoIlSBZ](?![a-z])|(?<![A-Za-z])[OoIlSBZ][ ().-]{0,2}[0-9]")
+_RUN_SPOKEN = re.compile(rb"[\1\2]{4,}")
 
 
 _BEYOND_LATIN = re.compile(r"[^\x00-\x9f\xa1-\xac\xae-\u024f]")
@@ -163,51 +181,112 @@ def disguised(text: str) -> bool:
     if lookalikes_in(text):
         return True
     low = text.lower()
-    if any(w in low for w in DOT_WORDS) and re.search(rf"\s(?:{_D})\s", low) or _IN_BRACKETS.search(low):
+    if any(w in low for w in DOT_WORDS) and _SPOKEN_DOT.search(low) or _IN_BRACKETS.search(low):
         return True
-    if "@" in low and _SPACED_SIGN.search(low) or _BEFORE_DOMAIN.search(low):
+    if "@" in low and _SPACED_SIGN.search(low) or _BEFORE_DOMAIN.search(low) or _NEAR_DIGIT.search(text):
         return True
-    return b"\1\1\1\1" in bytes(map(_SPOKEN.__contains__, low.replace(",", " ").replace("-", " ").split()))
+    kinds = bytes(2 if w in _SPOKEN else w.isdigit() for w in low.replace(",", " ").replace("-", " ").split())
+    return any(2 in m[0] for m in _RUN_SPOKEN.finditer(kinds))
 
 
 class Tape:
-    """What a transducer wrote, and the source span of each character."""
+    """What a transducer wrote, and the source span of each character.
+
+    Segments: where each begins in the text, its source span, and whether it was copied
+    character by character (else every character of it comes from the whole span).
+    """
 
     def __init__(self, text: str):
-        self.text, self.start, self.end = text, list(range(len(text))), list(range(1, len(text) + 1))
+        self.text, self.at, self.start, self.end, self.copied = text, [0], [0], [len(text)], [True]
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """``edits``: spans of the present text in order, and what stands for each. Every new character comes from the whole span."""
         if not edits:
             return
-        text, start, end, at = [], [], [], 0
-        for a, b, new in edits:
-            text += (self.text[at:a], new)
-            start += self.start[at:a]
-            end += self.end[at:a]
-            if b > a:
-                start += [self.start[a]] * len(new)
-                end += [self.end[b - 1]] * len(new)
-            at = b
-        text.append(self.text[at:])
-        self.text, self.start, self.end = "".join(text), start + self.start[at:], end + self.end[at:]
+        text, place, done = [], 0, 0
+        at: list[int] = []
+        start: list[int] = []
+        end: list[int] = []
+        copied: list[bool] = []
+
+        def add(n: int, a: int, b: int, same: bool) -> int:
+            if n:
+                at.append(place)
+                start.append(a)
+                end.append(b)
+                copied.append(same)
+            return place + n
+
+        for a, b, new in [*edits, (len(self.text), len(self.text), "")]:
+            k = bisect_right(self.at, done) - 1
+            while k < len(self.at) and self.at[k] < a:
+                low, high = max(done, self.at[k]), min(a, self.at[k + 1] if k + 1 < len(self.at) else len(self.text))
+                if low < high:
+                    shift = self.start[k] - self.at[k]
+                    place = add(high - low, low + shift, high + shift, True) if self.copied[k] else add(high - low, self.start[k], self.end[k], False)
+                k += 1
+            text += (self.text[done:a], new)
+            if new:
+                place = add(len(new), *self.source((a, b)), False)
+            done = b
+        self.text, self.at, self.start, self.end, self.copied = "".join(text), at or [0], start or [0], end or [0], copied or [True]
 
     def source(self, span: Span) -> Span:
-        return self.start[span[0]], self.end[span[1] - 1]
+        i, j = (bisect_right(self.at, x) - 1 for x in (span[0], span[1] - 1))
+        a = self.start[i] + (span[0] - self.at[i] if self.copied[i] else 0)
+        return a, self.start[j] + span[1] - self.at[j] if self.copied[j] else self.end[j]
+
+
+def _join_spaced(tape: Tape) -> None:
+    """``b o b @ e x . c o m``: single signs with one space between them, on both sides of the sign."""
+    text, edits, done = tape.text, [], 0
+    i = text.find("@")
+    while i >= 0:
+        left = right = i
+        while left - 2 >= done and text[left - 1] == " " and text[left - 2] in _LOCAL and (left == 2 or not (text[left - 3] in _LOCAL or text[left - 3].isalnum())):
+            left -= 2
+        while right + 2 < len(text) and text[right + 1] == " " and text[right + 2] in _LOCAL and (right + 3 == len(text) or not (text[right + 3] in _LOCAL or text[right + 3].isalnum())):
+            right += 2
+        if left < i and "." in text[i:right]:
+            edits += [(k, k + 1, "") for k in range(left + 1, right, 2)]
+            done = right + 1
+        i = text.find("@", max(done, i + 1))
+    tape.rewrite(edits)
+
+
+def _dots_before(text: str, end: int) -> list[tuple[int, int, str]]:
+    """Spelled dots of the local part that ends at ``end``, from the last to the first."""
+    out = []
+    while True:
+        a = end
+        while a and text[a - 1] in _LOCAL:
+            a -= 1
+        b = a
+        while b and text[b - 1].isspace():
+            b -= 1
+        word = next((w for w in DOT_WORDS if text[max(0, b - len(w)) : b].lower() == w), None)
+        if a == end or b == a or not word:
+            return out
+        c = b - len(word)
+        while c and text[c - 1].isspace():
+            c -= 1
+        if c == b - len(word) or not c or text[c - 1] not in _LOCAL:
+            return out
+        out.append((c, a, "."))
+        end = c
 
 
 def _fold_at_dot(tape: Tape) -> None:
     tape.rewrite([(m.start(), m.end(), "@" if any(m.groups()) else ".") for m in _BRACKET.finditer(tape.text) if m.start() and m.end() < len(tape.text) and tape.text[m.start() - 1].isalnum() and tape.text[m.end()].isalnum()])
-    text, edits = tape.text, []
-    for m in _AT_END.finditer(text):
-        if not m.start() or text[m.start() - 1] not in _LOCAL:
+    text, edits, at = tape.text, [], 0
+    while m := _AT_END.search(text, at):
+        at = m.end()
+        if not m.start() or text[m.start() - 1] not in _LOCAL or not (labels := _LABELS.match(text, at)):
             continue
-        near = max(0, m.start() - 80)
-        if local := re.search(_LOCAL_WORDS + r"$", text[near : m.start()]):
-            edits += [(near + local.start() + d.start(), near + local.start() + d.end(), ".") for d in _DOT_WORD.finditer(local[0])]
+        edits += _dots_before(text, m.start())
         edits.append((m.start(), m.end(), "@"))
-        labels = re.compile(_LABELS, re.I).match(text, m.end())
-        edits += [(d.start(), d.end(), ".") for d in _DOT_WORD.finditer(text, m.end(), labels.end())]
+        edits += [(d.start(), d.end(), ".") for d in _DOT_WORD.finditer(text, at, labels.end())]
+        at = labels.end()
     clean, done = [], 0
     for a, b, new in sorted(edits):
         if a >= done:
@@ -217,19 +296,39 @@ def _fold_at_dot(tape: Tape) -> None:
     # A literal domain after a spelled sign counts only if the word before looks like an address.
     text, edits = tape.text, []
     for m in _AT_LITERAL.finditer(text):
-        word = re.search(r"[A-Za-z0-9._%+-]*$", text[max(0, m.start() - 80) : m.start()])[0]
-        if "@" in m[0] or re.search(r"[0-9_]|[A-Za-z0-9][.+%-][A-Za-z0-9]", word):
+        a = m.start()
+        while a and text[a - 1] in _LOCAL:
+            a -= 1
+        if "@" in m[0] or _LOOKS_LOCAL.search(text, a, m.start()):
             edits.append((m.start(), m.end(), "@"))
     tape.rewrite(edits)
 
 
+def _fold_letters(tape: Tape) -> None:
+    """Letters within numbers that are digits for the most part."""
+    edits = []
+    text = tape.text
+    for m in _LETTERED.finditer(text):
+        a, b = m.span()
+        if b < len(text) and text[b].isalnum():  # the beginning of a word is no part of the number
+            while b > a and text[b - 1].isalnum():
+                b -= 1
+        letters = [(x.start(), x.end(), LETTERS[x[0]]) for x in _LETTER.finditer(text, a, b)]
+        if letters and len(_NOT_DIGIT.sub("", text[a:b])) >= 2 * len(letters):
+            edits += letters
+    tape.rewrite(edits)
+
+
 def _fold_digits(tape: Tape) -> None:
     edits = []
     for m in _SPELLED.finditer(tape.text):
+        tokens = list(_TOKEN.finditer(tape.text, m.start(), m.end()))
+        if all(t[0].isdigit() for t in tokens):
+            continue
         at = m.start()
-        for t in _TOKEN.finditer(tape.text, m.start(), m.end()):
+        for t in tokens:
             word = t[0].lower()
-            edits.append((at, t.end(), DIGIT_WORDS.get(word) or ("." if word in DOT_WORDS else "+")))
+            edits.append((at, t.end(), DIGIT_WORDS.get(word) or ("." if word in DOT_WORDS else "+" if word in PLUS_WORDS else word)))
             at = t.end()  # what stands between two words goes with the second
     tape.rewrite(edits)
 
@@ -241,7 +340,9 @@ def added(text: str, found: dict[str, list[Span]]) -> dict[str, list[Span]]:
     tape = Tape(text)
     if lookalikes_in(text):
         tape.rewrite([(m.start(), m.end(), LOOKALIKES[m[0]]) for m in _LOOK.finditer(text)])
+    _join_spaced(tape)
     _fold_at_dot(tape)
+    _fold_letters(tape)
     _fold_digits(tape)
     if tape.text == text:
         return {}
@@ -265,8 +366,9 @@ def written(spans: dict[str, list[Span]]) -> str:
 def pii_spans(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: counts and digest of base spans, all spans, and how many were added.
 
-    Offsets count code points, ends are exclusive. A null text counts as empty. Repeated
-    rows, a null doc_id and further columns change nothing; an empty table gives no rows.
+    Offsets count code points, ends are exclusive. A null text counts as empty; whole texts
+    are read, however long. Repeated rows, a null doc_id and further columns change
+    nothing; an empty table gives no rows.
     """
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +397,10 @@ def redact(text: str) -> str:
 
 
 def pii_redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with personal data replaced in ``text``; nulls stay, other columns are as they were."""
+    """``docs`` with personal data replaced in ``text``; null and empty texts stay, other columns are as they were.
+
+    Repeated rows and a null doc_id change nothing; an empty table gives no rows.
+    """
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
