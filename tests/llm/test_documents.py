@@ -354,6 +354,35 @@ def test_repeats_against_brute_force(spark, monkeypatch, piece):
     assert got == plain_repeats(rows)
 
 
+def test_frequent_grams_come_last(spark, monkeypatch):
+    """A passage in many surroundings: the same result, and no anchor keeps more than a few of its contexts."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9)))
+    passage = " ".join(word() for _ in range(14))
+    rows = [(k, f"{' '.join(word() for _ in range(12))} {passage} {' '.join(word() for _ in range(12))}", None, None, 0) for k in range(300)]
+    df = documents(spark, rows)
+    want = plain_repeats(rows)
+    crowd = []
+    for split in (200_000, 20):
+        monkeypatch.setattr(repeats, "SPLIT", split)
+        often = repeats.often_in(df.select("doc_id", "text"), 1)
+        raw = [r[1].encode() for r in rows]
+        _, _, _, anchor, ctx, _, _ = repeats.contexts(b"".join([*raw, b"\0" * 64]), np.cumsum([len(r) for r in raw]), often)
+        pairs = np.unique(np.stack([anchor, ctx]), axis=1)
+        crowd.append(int(np.unique(pairs[0], return_counts=True)[1].max()))
+        assert {k: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for k, r in rows_of(repeats.repeats(df)).items()} == want
+    assert crowd[0] > 100 and crowd[1] < 40, crowd
+
+
+def test_small_indexes_change_nothing(spark, monkeypatch):
+    rows = texts(9, 60)
+    monkeypatch.setattr(repeats, "INDEX", 200)
+    got = {k: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for k, r in rows_of(repeats.repeats(documents(spark, rows))).items()}
+    assert got == plain_repeats(rows)
+
+
 def test_repeats_odd_rows(spark):
     t = "q" * 30 + "r" * 40
     rows = [(5, t, None, None, 0), (5, t, None, None, 0), (None, t, None, None, 0), (6, t, None, None, 0), (5, "w" * 80, None, None, 0), (7, "w" * 60, None, None, 0)]

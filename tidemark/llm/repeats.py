@@ -7,18 +7,23 @@ built in parts, so windows of ``LENGTH`` bytes are first dealt out by content:
 * Every window has an anchor, its gram of ``GRAM`` bytes of least hash (leftmost of equal
   ones). Equal windows have equal anchors at equal places. Consecutive windows with the
   same anchor form a context; contexts split all windows of a document among themselves.
-* Contexts are grouped by anchor. Of equal contexts all but those of the smallest doc_id
-  go whole. Different contexts under one anchor can share windows only if they agree on
-  the bytes left or right of the anchor; where two do, their bytes are fetched.
-* For each shard of fetched contexts a run-length index is built: the Burrows-Wheeler
-  transform as runs, with the suffix positions at run starts and ends sampled and, for
-  classes of suffixes that share ``LENGTH`` bytes, the smallest doc_id. All contexts of the
-  shard are streamed through it from right to left, and matching statistics of at least
-  ``LENGTH`` whose class has a smaller doc_id mark the window.
+* Grams that would be the anchor of very many contexts, as those at the ends of a passage
+  that stands in many places, come last in this order: a sample finds them. Which grams
+  they are changes the division of work alone.
+* Contexts are grouped by anchor. Of equal contexts (64 bits of the anchor's hash and 64 of
+  the context's) all but those of the smallest doc_id go whole. Different contexts under
+  one anchor can share windows only if they agree on the bytes left or right of the anchor;
+  where two do, their bytes are fetched.
+* For fetched contexts run-length indexes are built, each over whole anchors and a bounded
+  number of bytes: the Burrows-Wheeler transform as runs, with the suffix positions at run
+  starts and ends sampled and, for classes of suffixes that share ``LENGTH`` bytes, the
+  smallest doc_id. All contexts are streamed through it from right to left, and matching
+  statistics of at least ``LENGTH`` whose class has a smaller doc_id mark the window.
 
 Windows marked in documents are joined to runs of removed bytes. Equal contexts are
 pre-aggregated before the shuffle, so a passage that a third of all documents share costs
-one row for each piece of input.
+one row for each piece of input. Documents are dealt out to buckets twice, compressed; the
+plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -33,14 +38,18 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_run, cut, parts, sorted_by
+from tidemark.llm.common import by_run, cut, parts
 
 LENGTH, GRAM = 50, 16
 SIDE = (LENGTH - GRAM + 1) // 2  # a window has at least so many bytes on one side of its anchor
 PIECE = 4 << 20  # bytes hashed at a time
 GATHER = 32 << 20  # bytes of input whose equal contexts are pre-aggregated
 SHARD = 64 << 20  # bytes of input for each shard
-FEW = 500_000  # doc_ids whose list is broadcast, at most
+INDEX = 4 << 20  # bytes of an index, if an anchor has no more
+SAMPLE, RATE = 64 << 20, 10_000  # bytes in which frequent grams are looked for: so many, or that part of all if it is more
+SPLIT = 200_000  # contexts of a gram from which it comes last
+MOST = 2_000_000  # frequent grams, at most: their list is broadcast
+LAST = np.uint64(1 << 63)
 WHOLE = -1  # all windows of a context
 
 _U = np.uint64
@@ -66,11 +75,36 @@ def _words(buf: bytes) -> np.ndarray:
     return np.ndarray((len(buf) - 7,), "<u8", buffer=buf, strides=(1,))
 
 
-def contexts(buf: bytes, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+class Often:
+    """Frequent grams by hash."""
+
+    def __init__(self, grams: np.ndarray):
+        self.grams = np.sort(grams)
+        self.there = np.zeros(1 << 22, bool)
+        self.there[(self.grams >> _U(20)) & _U((1 << 22) - 1)] = True
+
+    def among(self, h: np.ndarray) -> np.ndarray:
+        """Places of frequent grams."""
+        if not len(self.grams):
+            return np.zeros(0, np.int64)
+        may = np.flatnonzero(self.there[(h >> _U(20)) & _U((1 << 22) - 1)])
+        at = np.minimum(np.searchsorted(self.grams, h[may]), len(self.grams) - 1)
+        return may[self.grams[at] == h[may]]
+
+
+NONE = Often(np.zeros(0, np.uint64))
+
+
+def _grams(u: np.ndarray, m: int) -> np.ndarray:
+    """Hashes (63 bits) of the grams from each of ``m`` positions."""
+    return _mixed(_mixed(u[:m], 0x9E3779B97F4A7C15) ^ u[8 : 8 + m], 0x94D049BB133111EB) >> _U(1)
+
+
+def contexts(buf: bytes, ends: np.ndarray, often: Often = NONE) -> tuple[np.ndarray, ...]:
     """Contexts of documents that lie side by side in ``buf`` up to ``ends``; 64 bytes of padding follow.
 
     Returns for each context: document, first window, end of windows, anchor (64 bits),
-    hash of its bytes (56 bits), and 12 bits each for the bytes up to the anchor's end and
+    hash of its bytes (64 bits), and 12 bits each for the bytes up to the anchor's end and
     from its start (0: the context doesn't reach so far).
     """
     n = len(buf) - 64
@@ -79,7 +113,8 @@ def contexts(buf: bytes, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         return none
     u = _words(buf)
     m = n - GRAM + 1
-    h = _mixed(_mixed(u[:m], 0x9E3779B97F4A7C15) ^ u[8 : 8 + m], 0x94D049BB133111EB)
+    h = _grams(u, m)
+    h[often.among(h)] |= LAST
     low = (h & ~_U((1 << 26) - 1)) | np.arange(m, dtype=np.uint64)
     del h
     low = _slide(low, LENGTH - GRAM + 1)
@@ -105,7 +140,7 @@ def contexts(buf: bytes, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     doc = np.searchsorted(ends, st, "right")
     anchor = _mixed(_mixed(u[at], 0xBF58476D1CE4E5B9) ^ u[at + 8], 0xD6E8FEB86659FD93)
     view, digest = memoryview(buf), xxhash.xxh3_64_intdigest
-    ctx = np.array([digest(view[a:b]) for a, b in zip(st.tolist(), (en + LENGTH - 1).tolist())], np.uint64) >> _U(8)
+    ctx = np.array([digest(view[a:b]) for a, b in zip(st.tolist(), (en + LENGTH - 1).tolist())], np.uint64)
     left = at - st >= SIDE
     right = en + LENGTH - 1 - at >= GRAM + SIDE
     sides = []
@@ -174,7 +209,7 @@ def _bucket(x: np.ndarray, count: int) -> np.ndarray:
     return (_mixed(np.asarray(x).astype(np.int64).view(np.uint64), 0xD1342543DE82EF95) >> _U(17)) % _U(count)
 
 
-# A context on its way to its anchor's shard: low 32 bits of the anchor, hash in seven bytes, both sides in three, document's index in the blob's list.
+# A context on its way to its anchor's shard: low 32 bits of the anchor (the others choose the shard), hash, both sides in three bytes, document's index in the blob's list.
 def _shown(anchor, ctx, left, right, doc, ids, count) -> Iterator[tuple[int, bytes]]:
     side = (left | right << 12).astype(np.uint32)
     bucket = (anchor >> _U(32)) % _U(count)
@@ -185,7 +220,7 @@ def _shown(anchor, ctx, left, right, doc, ids, count) -> Iterator[tuple[int, byt
         names, index = np.unique(ids[doc[o]], return_inverse=True)
         small = len(names) < 1 << 16
         parts_ = [np.int64(len(o)).tobytes(), np.int64(len(names) if small else -len(names)).tobytes(), names.tobytes(), index.astype(np.uint16 if small else np.uint32).tobytes(), anchor[o].astype(np.uint32).tobytes()]
-        parts_ += [ctx[o].view(np.uint8).reshape(-1, 8)[:, :7].tobytes(), side[o].view(np.uint8).reshape(-1, 4)[:, :3].tobytes()]
+        parts_ += [ctx[o].tobytes(), side[o].view(np.uint8).reshape(-1, 4)[:, :3].tobytes()]
         yield int(b), b"".join(parts_)
 
 
@@ -198,24 +233,50 @@ def _read_shown(blob: bytes) -> tuple[np.ndarray, ...]:
     at += n * (2 if k > 0 else 4)
     anchor = np.frombuffer(blob, np.uint32, n, at).astype(np.uint64)
     at += 4 * n
-    ctx, side = np.zeros((n, 8), np.uint8), np.zeros((n, 4), np.uint8)
-    ctx[:, :7] = np.frombuffer(blob, np.uint8, 7 * n, at).reshape(n, 7)
-    side[:, :3] = np.frombuffer(blob, np.uint8, 3 * n, at + 7 * n).reshape(n, 3)
-    return anchor, ctx.view(np.uint64).ravel(), side.view(np.uint32).ravel(), names[index]
+    side = np.zeros((n, 4), np.uint8)
+    side[:, :3] = np.frombuffer(blob, np.uint8, 3 * n, at + 8 * n).reshape(n, 3)
+    return anchor, np.frombuffer(blob, np.uint64, n, at), side.view(np.uint32).ravel(), names[index]
 
 
 _DECIDED = [(np.int64, 1), (np.uint64, 1), (np.int64, 1)]  # document, context, its windows that go as bits
 _ASKED = [(np.int64, 1), (np.uint64, 1), (np.int32, 1)]  # document, context, shard that wants the bytes
 
 
-def _show(count: int):
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Grams that several different contexts of a piece share, where these have one anchor: ``gram, n``."""
+    for b in batches:
+        for _, _, buf, ends in _pieces(b.column(0).to_pylist(), map(_utf8, b.column(1))):
+            _, st, en, anchor, ctx, _, _ = contexts(buf, ends)
+            if not len(st):
+                continue
+            order = np.lexsort((ctx, anchor))
+            new = np.append(True, (ctx[order][1:] != ctx[order][:-1]) | (anchor[order][1:] != anchor[order][:-1]))
+            first = order[new]
+            _, inverse, n = np.unique(anchor[first], return_inverse=True, return_counts=True)
+            first = first[n[inverse] > 1]
+            size = en[first] - st[first] + LENGTH - GRAM
+            at = np.repeat(st[first] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            gram, n = np.unique(_grams(_words(buf), len(buf) - 64 - GRAM + 1)[at], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram[n > 1].view(np.int64)), pa.array(n[n > 1])], ["gram", "n"])
+
+
+def often_in(docs: DataFrame, size: int) -> Often:
+    """Frequent grams, from a sample of documents of ``size`` bytes in all."""
+    part = min(1.0, max(SAMPLE, size // RATE) / max(size, 1))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < round(part * 1_000_000))
+    found = sample.mapInArrow(_frequent, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, SPLIT * part))
+    found = found.orderBy(F.desc("n"), "gram").limit(MOST).select("gram").toArrow()
+    return Often(found.column("gram").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _show(count: int, often):
     """Contexts of all documents, equal ones of a stretch of input together."""
 
     def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         ids, anchor, ctx, left, right = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((ids, ctx))
+        order = np.lexsort((ids, anchor, ctx))
         ids, anchor, ctx, left, right = (x[order] for x in (ids, anchor, ctx, left, right))
-        new = np.append(True, ctx[1:] != ctx[:-1])
+        new = np.append(True, (ctx[1:] != ctx[:-1]) | (anchor[1:] != anchor[:-1]))
         least = ids[np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))]
         first = new | (ids != np.append(ids[:1], ids[:-1]))
         goes = (ids > least) & first
@@ -230,7 +291,7 @@ def _show(count: int):
         held, size = [], 0
         for b in batches:
             for ids, _, buf, ends in _pieces(b.column(0).to_pylist(), map(_utf8, b.column(1))):
-                doc, _, _, anchor, ctx, left, right = contexts(buf, ends)
+                doc, _, _, anchor, ctx, left, right = contexts(buf, ends, often.value)
                 size += len(buf)
                 if len(doc):
                     held.append((ids[doc], anchor, ctx, left, right))
@@ -311,14 +372,14 @@ def _beside(kinds: list[tuple[type, int]], each):
     return go
 
 
-def _fetch(count: int):
+def _fetch(count: int, often):
     """Bytes of the contexts that shards asked for."""
 
     def each(known: list[np.ndarray], ids: np.ndarray, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         who, wanted, shard = known
         got: dict[int, list[tuple[int, int, bytes]]] = {}
         for names, _, buf, ends in _pieces(ids.tolist(), iter(texts)):
-            doc, st, en, _, ctx, _, _ = contexts(buf, ends)
+            doc, st, en, _, ctx, _, _ = contexts(buf, ends, often.value)
             cuts = np.searchsorted(doc, np.arange(len(names) + 1))
             for d, name in enumerate(names):
                 lo, hi = np.searchsorted(who, name), np.searchsorted(who, name, "right")
@@ -468,7 +529,18 @@ class RunIndex:
         return self.least[np.searchsorted(self.klass, row, "right") - 1]
 
 
-def _match(count: int):
+def _chunks(raw: list[bytes], often: Often) -> Iterator[np.ndarray]:
+    """Places of contexts by anchor, in chunks of whole anchors of about ``INDEX`` bytes."""
+    size = np.array([len(x) for x in raw], np.int64)
+    anchor = contexts(b"".join([*raw, b"\0" * 64]), np.cumsum(size), often)[3]  # each of them is one context
+    order = np.argsort(anchor, kind="stable")
+    new = np.flatnonzero(np.append(True, anchor[order][1:] != anchor[order][:-1]))
+    before = np.append(0, np.cumsum(size[order]))[new]
+    cut_at = new[np.flatnonzero(np.append(True, before[1:] // INDEX != before[:-1] // INDEX))]
+    yield from np.split(order, cut_at[1:])
+
+
+def _match(count: int, often):
     """Windows of a shard's contexts that also start in a smaller document."""
 
     def handle(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -484,14 +556,16 @@ def _match(count: int):
                     raw.append(blob[at : at + size])
                     at += size
             docs, ctx = np.concatenate(docs), np.concatenate(ctx)
-            index = RunIndex(raw, docs)
-            length, row, begin = index.statistics(raw)
-            long = np.flatnonzero(length >= LENGTH)
-            who = np.searchsorted(begin, long, "right") - 1
-            smaller = index.least_document(row[long]) < docs[who]
-            long, who = long[smaller], who[smaller]
             mask = np.zeros(len(docs), np.int64)
-            np.bitwise_or.at(mask, who, np.int64(1) << (long - begin[who]))
+            for mine in _chunks(raw, often.value):
+                texts, owner = [raw[k] for k in mine.tolist()], docs[mine]
+                index = RunIndex(texts, owner)
+                length, row, begin = index.statistics(texts)
+                long = np.flatnonzero(length >= LENGTH)
+                who = np.searchsorted(begin, long, "right") - 1
+                smaller = index.least_document(row[long]) < owner[who]
+                long, who = long[smaller], who[smaller]
+                np.bitwise_or.at(mask, mine[who], np.int64(1) << (long - begin[who]))
             some = mask != 0
             for b, blob in _packed([docs[some], ctx[some], mask[some]], _bucket(docs[some], count), count):
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([blob], pa.binary())], ["bucket", "blob"])
@@ -517,10 +591,10 @@ class Gone:
         self.key, self.who, self.ctx = key[order][first], who[order][first], ctx[order][first]
         self.mask = np.bitwise_or.reduceat(mask[order], first) if len(key) else mask
 
-    def marks(self, ids: np.ndarray, buf: bytes, ends: np.ndarray) -> np.ndarray:
+    def marks(self, ids: np.ndarray, buf: bytes, ends: np.ndarray, often: Often) -> np.ndarray:
         """Which bytes of documents side by side in ``buf`` go."""
         change = np.zeros(len(buf) + LENGTH, np.int32)
-        doc, st, en, _, ctx, _, _ = contexts(buf, ends)
+        doc, st, en, _, ctx, _, _ = contexts(buf, ends, often)
         if len(doc) and len(self.key):
             at = np.searchsorted(self.key, _key(ids[doc], ctx))
             at = np.minimum(at, len(self.key) - 1)
@@ -548,16 +622,21 @@ def _results(rows: list, ids) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([ids, *(pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.string()]))], _NAMES)
 
 
-def _finish(known: list, ids: np.ndarray, raw: list[bytes]) -> Iterator[pa.RecordBatch]:
-    if len(known) == 3:
-        known[:] = [Gone(*known)]
-    marks = [np.zeros(len(t), bool) for t in raw]
-    # Documents are named by their place here, as several rows may have one doc_id.
-    for place, off, buf, ends in _pieces(list(range(len(raw))), iter(raw)):
-        out = known[0].marks(ids[place], buf, ends)
-        for k, lo, hi, o in zip(place.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), off.tolist()):
-            marks[k][o : o + hi - lo] |= out[lo:hi]
-    yield _results([_digest(t, m) for t, m in zip(raw, marks)], pa.array(ids))
+def _finish(often):
+    def each(known: list, ids: np.ndarray, raw: list[bytes]) -> Iterator[pa.RecordBatch]:
+        if len(known) == 3:
+            known[:] = [Gone(*known)]
+        marks = [np.zeros(len(t), bool) for t in raw]
+        touched = np.isin(ids, known[0].who)
+        # Documents are named by their place here, as several rows may have one doc_id.
+        some = np.flatnonzero(touched).tolist()
+        for place, off, buf, ends in _pieces(some, (raw[k] for k in some)):
+            out = known[0].marks(ids[place], buf, ends, often.value)
+            for k, lo, hi, o in zip(place.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), off.tolist()):
+                marks[k][o : o + hi - lo] |= out[lo:hi]
+        yield _results([_digest(t, m) for t, m in zip(raw, marks)], pa.array(ids))
+
+    return each
 
 
 def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -565,17 +644,6 @@ def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _results([_digest(_utf8(t)) for t in b.column(1)], b.column(0))
 
 
-def _names(blobs: DataFrame) -> DataFrame:
-    """The doc_ids that blobs are about."""
-
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for blob in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.frombuffer(blob, np.int64, int(np.frombuffer(blob, np.int64, 1)[0]), 8)))], ["doc_id"])
-
-    return blobs.select("blob").mapInArrow(go, "doc_id long").distinct()
-
-
 def _dealt(count: int):
     """Documents on their way to their bucket, those of a stretch of input compressed together."""
 
@@ -604,38 +672,36 @@ def _dealt(count: int):
     return go
 
 
-def _together(docs: DataFrame, blobs: DataFrame, count: int) -> DataFrame:
-    rows = docs.mapInArrow(_dealt(count), "bucket int, kind int, blob binary")
-    return rows.unionByName(blobs.select("bucket", F.lit(0).alias("kind"), "blob")).repartition(parts(docs), "bucket").sortWithinPartitions("bucket", "kind")
+def _by_bucket(df: DataFrame, *order: str) -> DataFrame:
+    """Rows of a bucket in one partition, buckets dealt out evenly; the sort spills to disk."""
+    n = parts(df)
+    return df.repartitionById(n, F.pmod(F.col("bucket"), F.lit(n)).cast("int")).sortWithinPartitions("bucket", *order)
 
 
-def _about(docs: DataFrame, blobs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``docs`` that blobs are about, and the others. Texts of the others aren't shuffled where the list is short."""
-    names = cut(_names(blobs))
-    names = F.broadcast(names) if names.count() <= FEW else names
-    return docs.join(names, "doc_id", "left_semi"), docs.join(names, "doc_id", "left_anti")
+def _together(docs: DataFrame, blobs: DataFrame, count: int) -> DataFrame:
+    rows = docs.mapInArrow(_dealt(count), "bucket int, kind int, blob binary")
+    return _by_bucket(rows.unionByName(blobs.select("bucket", F.lit(0).alias("kind"), "blob")), "kind")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` for every row of ``docs``.
 
     Texts are taken as UTF-8; null counts as empty; texts shorter than ``LENGTH`` lose
-    nothing. Rows with one doc_id don't count against each other, even with different
-    texts. A row with a null doc_id loses nothing and counts against no other. Further
-    columns are ignored; an empty table gives no rows.
+    nothing; long texts are read in pieces that overlap. Rows with one doc_id don't count
+    against each other, even with different texts. A row with a null doc_id loses nothing
+    and counts against no other. Further columns are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     named = docs.where("doc_id is not null")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(parts(docs), -(-size // SHARD))
+    count = parts(docs) * max(1, -(-size // (SHARD * parts(docs))))  # as many buckets for each partition
+    often = docs.sparkSession.sparkContext.broadcast(often_in(named, size))
     schema = "kind int, bucket int, blob binary"
-    shown = sorted_by(named.mapInArrow(_show(count), schema), "bucket")
+    shown = _by_bucket(named.mapInArrow(_show(count, often), schema))
     decided = cut(shown.mapInArrow(by_run("bucket", _decide(count), 1), schema))
     asked = decided.where("kind = 2").select("bucket", "blob")
-    wanted, _ = _about(named, asked)
-    fetched = _together(wanted, asked, count).mapInArrow(_beside(_ASKED, _fetch(count)), "bucket int, blob binary")
-    partly = cut(sorted_by(fetched, "bucket").mapInArrow(by_run("bucket", _match(count), 1), "bucket int, blob binary"))
+    fetched = _together(named, asked, count).mapInArrow(_beside(_ASKED, _fetch(count, often)), "bucket int, blob binary")
+    partly = cut(_by_bucket(fetched).mapInArrow(by_run("bucket", _match(count, often), 1), "bucket int, blob binary"))
     gone = decided.where("kind = 1").select("bucket", "blob").unionByName(partly)
-    touched, others = _about(named, gone)
-    others = others.unionByName(docs.where("doc_id is null")).mapInArrow(_untouched, _RESULT)
-    return _together(touched, gone, count).mapInArrow(_beside(_DECIDED, _finish), _RESULT).unionByName(others)
+    finished = _together(named, gone, count).mapInArrow(_beside(_DECIDED, _finish(often)), _RESULT)
+    return finished.unionByName(docs.where("doc_id is null").mapInArrow(_untouched, _RESULT))
