@@ -604,17 +604,72 @@ def test_isotonic_rises():
     assert (np.diff(x) > 0).all() and (np.diff(y) >= 0).all()
 
 
-def test_pipeline(spark):
+def test_pipeline_against_brute_force(spark):
+    """Every stage on its own input, and the whole."""
+    import os
+
+    import corpus_pipeline
+    from tidemark.llm.common import shared_folder, table
+
+    folder = "/root/testdata/sf0.001"
+    labels, before = table(spark, folder, "labels"), spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.fit(before, labels)
+    rows = [tuple(r) for r in before.collect()]
+    tame = [r for r in rows if model.score(np.array([model.lexicon.features(r[1] or "")]))[0] < toxicity.THRESHOLD]
+    fps = plain_components([r[0] for r in tame], [plain_fingerprint(r[1]) for r in tame])
+    unique = [r for r in tame if fps[r[0]] == r[0]]
+
+    def redacted(t: str) -> str:
+        found, more = plain_base(t), pii.spans_of(t)[1]
+        out, end = "", 0
+        for a, b, k in sorted((a, b, k) for k in KINDS for a, b in found[k] + more.get(k, [])):
+            out += (t[end:a] + f"[{k.upper()}]") if a >= end else ""
+            end = max(end, b)
+        return out + t[end:]
+
+    clean = [(i, redacted(t), lang, source, len(redacted(t))) for i, t, lang, source, _ in unique]
+    cells: dict = {}
+    for _, t, lang, source, _ in clean:
+        topic = next((n for n, p in mixing.TOPICS if re.search(p, t)), "general")
+        cells.setdefault((source, lang, topic), []).append((t, len(re.findall(mixing.WORD, t))))
+    tokens = {k: sum(n for _, n in v) for k, v in cells.items()}
+    want = {}
+    for i, d in enumerate(mixing.DIMS):
+        own: dict = {}
+        for k, v in tokens.items():
+            own[k[i]] = own.get(k[i], 0) + v
+        want[d] = {k: v**0.5 / sum(x**0.5 for x in own.values()) for k, v in own.items()}
+    raked = plain_rake({k: v for k, v in tokens.items() if v}, want)
+    mixed = []
+    for r in clean:
+        topic = next((n for n, p in mixing.TOPICS if re.search(p, r[1])), "general")
+        k = r[3], r[2], topic
+        e = raked[k] * mixing.FRACTION * sum(tokens.values()) / tokens[k] if tokens[k] else 1.0
+        u = int(hashlib.md5(str(r[0]).encode()).hexdigest()[:8], 16) / 2**32
+        mixed += [r] * (int(e) + (u < e - int(e)))
+    path, pattern = bpe.default_ranks()
+    theirs = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    got = corpus_pipeline.run(spark, folder)
+    assert got.columns == ["doc_id", "source", "lang", "n_tokens", "ids"]
+    assert sorted((r.doc_id, r.source, r.lang, r.n_tokens, list(r.ids)) for r in got.collect()) == sorted((i, s, g, len(x := theirs.encode_ordinary(t)), x) for i, t, g, s, _ in mixed)
+    docs, plain = before, (tame, unique, clean, mixed)
+    for (name, stage), rows_ in zip(corpus_pipeline.STAGES[:-1], plain):
+        docs = stage(spark, docs, folder)
+        assert docs.columns == before.columns and sorted(tuple(r) for r in docs.collect()) == sorted(rows_), name
+    home = shared_folder(spark).removeprefix("file:")
+    assert not [x for x in os.listdir(home) if x.startswith("cuts-")]
+    kept = [x for x in os.listdir(home) if x.startswith("pipeline-")]
+    assert kept and all(os.listdir(f"{home}/{x}") == ["4"] for x in kept)
+
+
+def test_stages_on_odd_rows(spark):
     import corpus_pipeline
 
-    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    before = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert 0 < got.count() < before.count() and got.columns == ["doc_id", "source", "lang", "n_tokens", "ids"]
-    docs = before
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, "/root/testdata/sf0.001")
-        assert docs.columns == before.columns, name
-    assert DOCS and docs.count() == got.count()
+    odd = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "some words here", "en", "s", 15), (3, "a b c", "en", "s", 5), (3, "a b c", "en", "s", 5)]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty(spark), "/root/testdata/sf0.001").count() == 0, name
+        out = stage(spark, spark.createDataFrame(odd, DOCS), "/root/testdata/sf0.001")
+        assert out.count() >= 1, name
 
 
 MIT = """Copyright (c) 2024 A. Author
