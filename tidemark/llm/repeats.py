@@ -42,7 +42,7 @@ from tidemark.llm.common import by_run, cut, parts
 
 LENGTH, GRAM = 50, 16
 SIDE = (LENGTH - GRAM + 1) // 2  # a window has at least so many bytes on one side of its anchor
-PIECE = 4 << 20  # bytes hashed at a time
+PIECE = 1 << 20  # bytes hashed at a time
 GATHER = 32 << 20  # bytes of input whose equal contexts are pre-aggregated
 SHARD = 64 << 20  # bytes of input for each shard
 INDEX = 4 << 20  # bytes of an index, if an anchor has no more
@@ -58,7 +58,8 @@ _U = np.uint64
 def _mixed(x: np.ndarray, by: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = x * _U(by)
-        return x ^ (x >> _U(31))
+        x ^= x >> _U(31)
+        return x
 
 
 def _slide(x: np.ndarray, width: int) -> np.ndarray:
