@@ -171,7 +171,7 @@ def test_dictionary_files(tmp_path, spark):
     (tmp_path / "petroleo.txt").write_text("# c\ncrudo, 2.5\nbrent; x\ncobre, litio, oro\n", encoding="utf-8")
     (tmp_path / "z.json").write_text('{"riesgo": [{"term": "quiebra", "peso": 3}, "default"], "fiscal": {"terms": ["iva"]}}', encoding="utf-8")
     (tmp_path / "bad.json").write_text("{", encoding="utf-8")
-    e = dictionaries.deduplicated(dictionaries.load(str(tmp_path)))
+    e = dictionaries.deduplicated(dictionaries.load(str(tmp_path), base=[]))
     assert {(f, t, w) for f, t, w, _ in e} == {("energia_commodities", "crudo", 2.5), ("energia_commodities", "brent", 1.0), ("energia_commodities", "cobre", 1.0), ("riesgo_alerta", "quiebra", 3.0), ("riesgo_alerta", "default", 1.0), ("macro_fiscal", "iva", 1.0)}
     assert len(dictionaries.from_text("cobre, litio, oro", "energia", layout="list")) == 3
     c = dictionaries.from_candidates({"political_risk": {"ngrams_top": [{"term": "gobierno"}, {"term": "ley corta", "df_pct": 0.05}, {"term": "comun", "df_pct": 0.5}], "tfidf_top": [{"term": "senado", "score": 9}]}}, {"gobierno"})

@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
         days = allowed_days(a.start, a.end, a.days_back)
         if days is not None:
             df = df.where(F.col("published_date").isin(days))
-        terms = dictionaries.as_frame(spark, dictionaries.load(a.dictionary, layout=a.layout) if a.dictionary else [])
+        terms = dictionaries.as_frame(spark, dictionaries.load(a.dictionary, layout=a.layout) if a.dictionary else dictionaries.seeds())
         df = df.withColumn("t", T.match_text(classification_text(df), exact=True))
         m = matching.family_matches(matching.term_counts(df, a.key, "t", terms), a.key)
         fields = [c for c in ("source", "main_section", "subsection", "site_vertical", "article_type_editorial", "breadcrumb_raw") if c in df.columns]

@@ -36,20 +36,32 @@ def without_utm(url: Column | str) -> Column:
     return F.when(F.size(kept) > 0, F.concat(head, F.lit("?"), F.array_join(kept, "&"))).otherwise(head)
 
 
+def _decoded(c: Column) -> Column:
+    """A component of a query as text: ``+`` is a space; what can't be decoded stays."""
+    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit(" "))), c)
+
+
+def _encoded(c: Column) -> Column:
+    """Letters, digits and ``_.-~`` stay, spaces become ``+``."""
+    return F.replace(F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def article_key(canonical: Column | str, url: Column | str | None = None) -> Column:
     """What an article's address identifies; empty if there is no http address.
 
     https, host without ``www.``, no port, no trailing slash, no fragment, no tracking
-    parameters, the others sorted.
+    parameters; the others decoded, sorted by name and value, and encoded anew, so that
+    different spellings of one parameter are one key. A parameter without ``=`` has an
+    empty value.
     """
     u = F.nullif(F.trim(text_of(canonical)), F.lit(""))
     if url is not None:
         u = F.coalesce(u, F.nullif(F.trim(text_of(url)), F.lit("")))
     u = F.coalesce(u, F.lit(""))
-    name = lambda p: F.lower(F.regexp_extract(p, "^([^=]*)", 1))
-    kept = F.array_sort(F.filter(F.split(part(u, 4), "&"), lambda p: (p != "") & ~name(p).startswith("utm_") & ~name(p).isin(*TRACKING)))
-    kept = F.transform(kept, lambda p: F.when(p.contains("="), p).otherwise(F.concat(p, F.lit("="))))
-    query = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
+    pairs = F.transform(F.filter(F.split(part(u, 4), "&"), lambda p: p != ""), lambda p: F.struct(_decoded(F.substring_index(p, "=", 1)).alias("name"), _decoded(F.when(p.contains("="), F.regexp_replace(p, "^[^=]*=", "")).otherwise("")).alias("value")))
+    kept = F.array_sort(F.filter(pairs, lambda p: ~F.lower(p["name"]).startswith("utm_") & ~F.lower(p["name"]).isin(*TRACKING)))
+    written = F.transform(kept, lambda p: F.concat(_encoded(p["name"]), F.lit("="), _encoded(p["value"])))
+    query = F.when(F.size(written) > 0, F.concat(F.lit("?"), F.array_join(written, "&"))).otherwise("")
     good = F.lower(part(u, 1)).isin("http", "https") & (host(u) != "")
     return F.when(good, F.concat(F.lit("https://"), host(u), F.regexp_replace(part(u, 3), "/+$", ""), query)).otherwise("")
 
@@ -57,7 +69,7 @@ def article_key(canonical: Column | str, url: Column | str | None = None) -> Col
 def url_date(url: Column | str) -> Column:
     """The date in ``/YYYY/MM/DD/`` of an address, else null."""
     d = F.regexp_extract(text_of(url), r"/(20\d{2}/\d{2}/\d{2})(?:/|$)", 1)
-    return F.try_to_date(F.nullif(d, F.lit("")), "yyyy/MM/dd") if hasattr(F, "try_to_date") else F.to_date(F.nullif(d, F.lit("")), "yyyy/MM/dd")
+    return F.try_to_timestamp(F.nullif(d, F.lit("")), F.lit("yyyy/MM/dd")).cast("date")
 
 
 def is_article(url: Column | str, hosts: list[str], excluded: list[str] = [], min_segments: int = 2) -> Column:  # noqa: B006
@@ -70,6 +82,32 @@ def is_article(url: Column | str, hosts: list[str], excluded: list[str] = [], mi
     return good
 
 
+# What the addresses of articles look like at the two styles of site, fixed values.
+ARTICLE_RULES = {
+    "shtml": {
+        "hosts": ("www.biobiochile.cl", "biobiochile.cl"),
+        "needs": r"(?i)/noticias/.*\.shtml$",
+        "excluded": ("/biobiotv/", "/podcasts/", "/programas/", "/especial/", "/especiales/", "/legales/"),
+    },
+    "dated": {
+        "hosts": ("www.elmostrador.cl", "elmostrador.cl"),
+        "needs": r"/20\d{2}/\d{2}/\d{2}/",
+        "excluded": ("/autor/", "/tag/", "/tags/", "/wp-content/", "/wp-json/", "/newsletter", "/categoria/", "/dia/", "/page/", "/quienes-somos", "/carta-etica", "/principios-editoriales", "/politicas-de-privacidad", "/contactenos"),
+    },
+}
+
+
+def article_address(url: Column | str, style: str) -> Column:
+    """Whether an address is that of an article of a style of site: its host as written, a path of the right form, none of the excluded fragments."""
+    rule = ARTICLE_RULES[style]
+    u = text_of(url)
+    path = F.lower(part(u, 3)) if style == "shtml" else part(u, 3)
+    good = part(u, 2).isin(*rule["hosts"]) & path.rlike(rule["needs"])
+    for x in rule["excluded"]:
+        good &= ~path.contains(x)
+    return good
+
+
 def segments(url: Column | str) -> Column:
     return F.filter(F.split(part(text_of(url), 3), "/"), lambda s: s != "")
 

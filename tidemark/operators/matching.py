@@ -76,7 +76,8 @@ def family_matches(counts: DataFrame, key: str, active_from: float = 1.0, detail
     )
 
 
-def seed_hits(counts: DataFrame, key: str, families: list[str]) -> DataFrame:
-    """One row for each text, one array of distinct hits for each seed set; sets without hits are empty."""
+def seed_hits(texts: DataFrame, counts: DataFrame, key: str, families: list[str]) -> DataFrame:
+    """One row for each text, one array of distinct hits for each seed set; all are empty for a text without hits."""
     hits = lambda f: F.sort_array(F.collect_set(F.when(F.col("family") == f, F.col("norm_term"))))
-    return counts.groupBy(key).agg(*(hits(f).alias(f) for f in families))
+    found = texts.select(key).distinct().join(counts.groupBy(key).agg(*(hits(f).alias(f) for f in families)), key, "left")
+    return found.select(key, *(F.coalesce(F.col(f), F.array().cast("array<string>")).alias(f) for f in families))

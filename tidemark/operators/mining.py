@@ -17,9 +17,13 @@ from tidemark.functions.text import text_of
 MARKED = "a-záéíóúñü0-9_"  # word signs of mining, accents kept
 
 
-def tokens(text: Column, stop: list[str] = [], pattern: str = r"[a-záéíóúñü_]{3,}") -> Column:  # noqa: B006
+# A word of mining: a letter, then at least two letters, digits, hyphens or underscores, between word boundaries; fixed value.
+TOKEN = r"(?U)\b[a-záéíóúñü][a-záéíóúñü0-9_\-]{2,}\b"
+
+
+def tokens(text: Column, stop: list[str] = [], pattern: str = TOKEN) -> Column:  # noqa: B006
     """Words of a lower-case text that the pattern meets, stop words out before n-grams are made."""
-    t = F.regexp_extract_all(F.lower(text), F.lit(f"({pattern})"), 1)
+    t = F.regexp_extract_all(F.lower(text), F.lit(pattern), 0)
     return F.filter(t, lambda x: ~x.isin(stop)) if stop else t
 
 
@@ -189,6 +193,7 @@ def seed_rules(h: DataFrame) -> DataFrame:
 
 
 SEED_SETS = ("market", "fiscal", "company", "commodity", "political", "geopolitical", "noise", "ambiguous", "market_context", "amount", "amount_context", "energy_word", "energy_context", "gas_strong", "gas_weak", "hard_event", "direct_context", "support_context")
+# Articles that the financial dictionary leaves out, fixed values: flags, and fragments of section names.
 EXCLUDED_FLAGS = ("is_deportes", "is_culture", "is_multimedia", "is_opinion", "is_column", "is_letter_to_editor", "is_editorial")
 EXCLUDED_SECTIONS = ("deportes", "cultura", "multimedia", "opinión", "opinion", "cartas", "editorial", "espectáculos", "espectaculos")
 

@@ -184,9 +184,12 @@ def _grams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     return mining.gram_counts(d, "doc_id", "text", stop=["the", "and"]), d.count()
 
 
-_GRAMS = """d AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-záéíóúñü_]{3,}'), lambda x: x NOT IN ('the', 'and')) AS w FROM documents WHERE lang = 'en'),
-g AS (SELECT doc_id, unnest(w) AS term FROM d UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM d),
-c AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY 1, 2), z AS (SELECT count(*)::DOUBLE AS n FROM documents WHERE lang = 'en')"""
+# Accented letters of words as capitals and other letters as Z, so that the engine's word boundaries, which know ASCII alone, hold.
+_GRAMS = r"""d0 AS (SELECT doc_id, regexp_replace(regexp_replace(translate(lower(coalesce(text, '')), 'áéíóúñü', 'AEIOUNW'), '[^\x00-\x7F\p{L}\p{M}\p{Nd}\p{Pc}]', ' ', 'g'), '[^\x00-\x7F]', 'Z', 'g') AS t FROM documents),
+d AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(t, '\b[a-zAEIOUNW][a-zAEIOUNW0-9_\-]{2,}\b'), lambda x: translate(x, 'AEIOUNW', 'áéíóúñü')), lambda x: x NOT IN ('the', 'and')) AS w FROM d0),
+g AS (SELECT doc_id, unnest(w) AS term FROM d UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM d
+  UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM d),
+c AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY 1, 2), z AS (SELECT count(*)::DOUBLE AS n FROM documents)"""
 
 
 def mine_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +207,8 @@ SEEDS = dict(zip(mining.SEED_SETS, [{t: 1.0} for t in ("that", "for", "der", "ga
 
 def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = matching.dictionary(spark, SEEDS | {"political": {"with": 1.0, "from": 1.0}, "noise": {"idiot": 1.0, "scum": 1.0}, "hard_event": {"les": 1.0, "pour": 1.0}}, "demo")
-    return matching.seed_hits(matching.term_counts(_docs(spark, sf_dir), "doc_id", "t", terms), "doc_id", list(mining.SEED_SETS))
+    docs = _docs(spark, sf_dir)
+    return matching.seed_hits(docs, matching.term_counts(docs, "doc_id", "t", terms), "doc_id", list(mining.SEED_SETS))
 
 
 def mine_seed_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +229,7 @@ def mine_subcorpora(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _HAS = {s: (["with", "from"] if s == "political" else ["idiot", "scum"] if s == "noise" else ["les", "pour"] if s == "hard_event" else list(SEEDS[s])) for s in mining.SEED_SETS}
 _SEEDS = f"""{NORMED}, p AS (SELECT doc_id, ' ' || regexp_replace(t, '[^a-z0-9_]+', ' ', 'g') || ' ' AS p FROM n),
-hh AS (SELECT doc_id, """ + ", ".join(f"list_filter({sorted(t)!r}, lambda x: contains(p, ' ' || x || ' ')) AS {s}" for s, t in _HAS.items()) + " FROM p),\nh AS (SELECT * FROM hh WHERE " + " + ".join(f"len({s})" for s in mining.SEED_SETS) + """ > 0),
+h AS (SELECT doc_id, """ + ", ".join(f"list_filter({sorted(t)!r}, lambda x: contains(p, ' ' || x || ' ')) AS {s}" for s, t in _HAS.items()) + """ FROM p),
 r AS (SELECT *, len(amount) > 0 AND len(amount_context) > 0 AS amt, len(energy_word) > 0 AND len(energy_context) > 0 AS energy, list_contains(commodity, 'gas') AND (len(gas_strong) > 0 OR (len(gas_weak) > 0 AND len(direct_context) > 0)) AS gas,
   len(market) + CASE WHEN len(ambiguous) > 0 AND len(market_context) > 0 THEN len(ambiguous) ELSE 0 END AS m FROM h),
 q AS (SELECT *, len(direct_context) > 0 OR gas OR ((len(list_filter(commodity, lambda x: x <> 'gas')) > 0 OR energy) AND len(hard_event) > 0) OR (len(market) > 0 AND len(hard_event) > 0) OR ((amt OR len(support_context) > 0) AND len(hard_event) >= 2) AS ctx,
@@ -240,7 +244,11 @@ def url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_article_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", U.article_key("url").alias("article_key"))
+    """Addresses with parameters in another order and spelling, tracking among them."""
+    p = read(spark, sf_dir, "pages")
+    more = F.concat(F.lit("?id2="), F.col("page_id"), F.lit("&id=2&q=a%20b+c&fbclid=z&UTM_x=1&k&id=10#top"))
+    address = F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise(F.concat(F.regexp_replace("url", r"[?#].*$", ""), more))
+    return p.select("page_id", U.article_key(address).alias("article_key"))
 
 
 def url_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,8 +300,8 @@ def html_extract_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def article_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "pages").withColumn("kind", editorial.kind("dated", F.col("url"), body=F.col("html")))
-    return p.select("page_id", "kind", editorial.agency("html").alias("agency"))
+    p = read(spark, sf_dir, "pages").withColumn("body", F.array_join(html.paragraphs("html"), "\n"))
+    return p.select("page_id", editorial.kind("dated", F.col("url"), body=F.col("body")).alias("kind"), editorial.agency("body").alias("agency"))
 
 
 def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,6 +329,7 @@ QUERIES = {
     )
 }
 
+_BODY = "p AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '(?is)<p(?:\\s[^>]*)?>(.*?)</p>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))), lambda x: length(x) >= 25) AS p FROM pages), q AS (SELECT page_id, list_filter(p, lambda x, i: list_position(p, x) = i) AS p FROM p)"
 _COPIES = "x AS (SELECT doc_id, 'k' || (length(text) % 97) AS key, doc_id % 3 <> 0 AS parse_success, n_chars, source, (doc_id % 30)::INT AS day FROM documents)"
 ORACLE_SQL = {
     "text_normalize": f"WITH {NORMED} SELECT doc_id, md5(t) AS norm_md5, length(t)::INT AS norm_length, CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END::INT AS norm_words FROM n",
@@ -351,14 +360,18 @@ score >= 0.20 OR is_economic_news OR on_geopolitico_mercado AS market_impact_can
     "mine_classify": f"WITH {_SEEDS} SELECT * FROM y",
     "mine_subcorpora": f"WITH {_SEEDS}, o AS (SELECT * FROM y WHERE NOT is_social_noise_dominant) SELECT section, count(*) AS n, min(doc_id) AS first_doc FROM (SELECT doc_id, 'financial_strict' AS section FROM o WHERE is_financial_strict UNION ALL SELECT doc_id, 'political_risk' FROM o WHERE is_political_risk UNION ALL SELECT doc_id, 'geopolitical_market' FROM o WHERE is_geopolitical_market) GROUP BY 1",
     "url_normalize": f"WITH {_URL} SELECT page_id, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '\\?utm_source.*$', '') AS url_a, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '\\?.*$', '') || CASE WHEN len(list_filter(q, lambda x: NOT starts_with(x, 'utm_'))) > 0 THEN '?' || array_to_string(list_filter(q, lambda x: NOT starts_with(x, 'utm_')), '&') ELSE '' END AS url_b FROM v",
-    "url_article_key": f"WITH {_URL}, k AS (SELECT *, list_sort(list_filter(q, lambda x: NOT regexp_matches(lower(x), '^(utm_[^=]*|fbclid|gclid|mc_cid|mc_eid)(=|$)'))) AS kept FROM v) SELECT page_id, CASE WHEN lower(scheme) IN ('http', 'https') AND host <> '' THEN 'https://' || host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(list_transform(kept, lambda x: CASE WHEN contains(x, '=') THEN x ELSE x || '=' END), '&') ELSE '' END ELSE '' END AS article_key FROM k",
+    "url_article_key": r"""WITH a AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url ELSE regexp_replace(url, '[?#].*$', '') || '?id2=' || page_id || '&id=2&q=a%20b+c&fbclid=z&UTM_x=1&k&id=10#top' END AS u FROM pages),
+v AS (SELECT page_id, regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?', ['scheme', 'host', 'path', 'query']) AS p FROM a),
+q AS (SELECT page_id, p, list_transform(list_filter(string_split(p.query, '&'), lambda x: x <> ''), lambda x: {'n': url_decode(replace(split_part(x, '=', 1), '+', ' ')), 'v': CASE WHEN contains(x, '=') THEN url_decode(replace(substr(x, strpos(x, '=') + 1), '+', ' ')) ELSE '' END}) AS q FROM v),
+k AS (SELECT page_id, p, list_sort(list_filter(q, lambda x: NOT starts_with(lower(x.n), 'utm_') AND lower(x.n) NOT IN ('fbclid', 'gclid', 'mc_cid', 'mc_eid'))) AS k FROM q)
+SELECT page_id, 'https://' || regexp_replace(regexp_replace(lower(p.host), ':\d*$', ''), '^www\.', '') || regexp_replace(p.path, '/+$', '') || CASE WHEN len(k) > 0 THEN '?' || array_to_string(list_transform(k, lambda x: replace(url_encode(x.n), '%20', '+') || '=' || replace(url_encode(x.v), '%20', '+')), '&') ELSE '' END AS article_key FROM k""",
     "url_sections": f"WITH {_URL} SELECT page_id, host, len(s)::INT AS depth, coalesce(s[1], '') AS first_segment, regexp_replace(coalesce(s[-1], ''), '\\.html$', '') AS slug FROM v",
     "dedup_keep_best": f"WITH {_COPIES} SELECT key, arg_max(doc_id, {{'a': parse_success, 'b': n_chars, 'c': -doc_id}}) AS doc_id, arg_max(n_chars, {{'a': parse_success, 'b': n_chars, 'c': -doc_id}}) AS n_chars, min(doc_id) AS first_position FROM x GROUP BY 1",
     "dup_across_days": f"WITH {_COPIES} SELECT source, key, count(DISTINCT day) AS days, min(day) AS first_day, max(day) AS last_day FROM x GROUP BY 1, 2 HAVING count(DISTINCT day) > 1",
     "incremental_new": f"WITH {_COPIES} SELECT doc_id, key FROM x WHERE doc_id % 2 = 0 AND key NOT IN (SELECT key FROM x WHERE doc_id % 2 = 1 AND parse_success)",
     "discovery_merge": f"WITH {_COPIES}, s AS (SELECT key, source, min(doc_id) AS o FROM x GROUP BY 1, 2), l AS (SELECT key, string_agg(source, ',' ORDER BY o) AS sources FROM s GROUP BY 1) SELECT key AS url, 't' || min(doc_id) FILTER (doc_id % 2 = 0) AS title, bool_or(n_chars > 9000) AS featured, any_value(sources) AS sources FROM x JOIN l USING (key) GROUP BY 1",
-    "html_paragraphs_regex": "WITH p AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '(?is)<p(?:\\s[^>]*)?>(.*?)</p>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))), lambda x: length(x) >= 25) AS p FROM pages), q AS (SELECT page_id, list_filter(p, lambda x, i: list_position(p, x) = i) AS p FROM p) SELECT page_id, len(p)::INT AS n_paragraphs, md5(coalesce(array_to_string(p, chr(10)), '')) AS body_md5 FROM q",
+    "html_paragraphs_regex": f"WITH {_BODY} SELECT page_id, len(p)::INT AS n_paragraphs, md5(coalesce(array_to_string(p, chr(10)), '')) AS body_md5 FROM q",
     "html_links_regex": "SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*href=\"([^\"#]+)[\"#]', 1)) AS href FROM pages",
     "entities_heuristic": "WITH e AS (SELECT lower(unnest(regexp_extract_all(text, '(\\p{Lu}[\\p{L}]+(?: \\p{Lu}[\\p{L}]+)*)', 1))) AS entity FROM documents) SELECT entity, count(*) AS n FROM e WHERE length(entity) >= 3 GROUP BY 1 ORDER BY n DESC, entity LIMIT 300",
-    "article_kind": "WITH v AS (SELECT page_id, lower(url || ' ' || left(html, 500)) AS v, lower(html) AS h FROM pages) SELECT page_id, CASE " + " ".join(f"WHEN {' OR '.join(f'contains(v, {p!r})' for p in parts)} THEN '{n}'" for n, parts in editorial.KINDS["dated"] if parts) + " ELSE 'news' END AS kind, CASE " + " ".join(f"WHEN contains(h, '{a}') THEN '{a}'" for a in editorial.AGENCIES) + " ELSE '' END AS agency FROM v",
+    "article_kind": f"WITH {_BODY}, v AS (SELECT page_id, lower(url || ' ' || left(array_to_string(p, chr(10)), 500)) AS v, lower(array_to_string(p, chr(10))) AS h FROM q JOIN pages USING (page_id)) SELECT page_id, CASE " + " ".join(f"WHEN {' OR '.join(f'contains(v, {p!r})' for p in parts)} THEN '{n}'" for n, parts in editorial.KINDS["dated"] if parts) + " ELSE 'news' END AS kind, CASE " + " ".join(f"WHEN contains(h, '{a}') THEN '{a}'" for a in editorial.AGENCIES) + " ELSE '' END AS agency FROM v",
 }

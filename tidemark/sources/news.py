@@ -71,10 +71,18 @@ def read_articles(spark: SparkSession, path: str, article: StructType) -> DataFr
 
 
 def write_days(df: DataFrame, path: str, key: str, medium: str = "medium", day: str = "day") -> None:
-    """Articles partitioned by medium and day; only days that ``df`` has are replaced. Repeated keys over days are an error."""
+    """Articles partitioned by medium and day; only days that ``df`` has are replaced.
+
+    A key under several days is an error, whether within ``df`` or against days that are
+    stored already and stay.
+    """
     from tidemark.operators.identity import assert_unique
 
-    assert_unique(df, medium, key, day)
+    every = df.select(medium, key, F.col(day).cast("string").alias(day))
+    if existing(df.sparkSession, [f"{path}/{medium}=*/{day}=*/*"]):
+        stored = df.sparkSession.read.parquet(path).select(medium, key, F.col(day).cast("string").alias(day))
+        every = every.unionByName(stored.join(every.select(medium, day).distinct(), [medium, day], "left_anti"))
+    assert_unique(every, medium, key, day)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(medium, day).parquet(path)
 
 
