@@ -18,8 +18,12 @@ FEW = {"n_estimators": 40, "learning_rate": 0.1}
 
 
 def _folder(spark: SparkSession) -> str:
-    """A folder of its own under the one that executors share; a temporary one only where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    """A folder of its own under the one that executors share; a temporary one only on a single machine where none is named."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base}/{uuid.uuid4().hex}"
 
 
