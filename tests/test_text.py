@@ -94,7 +94,7 @@ def test_family_scores_and_rules(spark):
     m = matching.family_matches(matching.term_counts(docs, "i", "t", d), "i")
     risk = m.where("i = 1 and family = 'riesgo_alerta'").first()
     assert risk.hits == ["crisis", "alerta"] and risk.hit_count == 2 and risk.active and risk.score == pytest.approx(2 * 1.0986 + 1.7 * 0.6931, abs=1e-3)
-    out = enrich.audit(enrich.entities(enrich.impact(enrich.general_flags(enrich.section_flags(enrich.wide(m, "i", docs), ["section"])))), "t")
+    out = enrich.audit(enrich.entities(enrich.impact(enrich.general_flags(enrich.section_flags(enrich.wide(docs.withColumn("hits", matching.matched(docs["t"], d))), ["section"])))), "t")
     a, b = out.orderBy("i").collect()
     assert a.has_iran and a.is_geopolitical_news and a.expected_impact_direction == "negative" and a.expected_impact_horizon == "short_term" and a.classification_reason.startswith("Familias activas: geopolitico_mercado: iran")
     assert b.is_social_noise and b.confidence <= 0.25 and b.classification_reason == enrich.NO_FAMILY and b.expected_impact_direction == "unknown"

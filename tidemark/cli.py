@@ -76,9 +76,9 @@ def main(argv: list[str] | None = None) -> int:
             df = df.where(F.col("published_date").isin(days))
         terms = dictionaries.as_frame(spark, dictionaries.load(a.dictionary, layout=a.layout) if a.dictionary else dictionaries.seeds())
         df = df.withColumn("t", T.match_text(classification_text(df), exact=True))
-        m = matching.family_matches(matching.term_counts(df, a.key, "t", terms), a.key)
+        df = df.withColumn("hits", matching.matched(F.col("t"), terms))
         fields = [c for c in ("source", "main_section", "subsection", "site_vertical", "article_type_editorial", "breadcrumb_raw") if c in df.columns]
-        out = enrich.impact(enrich.general_flags(enrich.section_flags(enrich.wide(m, a.key, df), fields)))
+        out = enrich.impact(enrich.general_flags(enrich.section_flags(enrich.wide(df), fields)))
         enrich.audit(enrich.entities(out), "t").drop("t").write.mode("overwrite").parquet(a.output)
     else:
         docs = mining.corpus_cleaned(df.withColumn("t", classification_text(df)), "t", T.PHRASES)

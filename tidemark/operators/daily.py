@@ -84,9 +84,14 @@ def across_sources(long: DataFrame, day: str) -> DataFrame:
 
 
 def dense(matrix: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Every feature on every day of the calendar, 0 where nothing is known."""
-    every = matrix.select("feature").distinct().withColumn("d", F.lit(1)).join(F.broadcast(calendar.withColumn("d", F.lit(1))), "d").drop("d")
-    return every.join(matrix, ["date", "feature"], "left").select("date", "feature", F.coalesce("value", F.lit(0.0)).alias("value"))
+    """Every feature on every day from the calendar's first to its last, 0 where nothing is known.
+
+    Days are made within each feature, so there is no join with the calendar.
+    """
+    a, b = calendar.agg(F.min("date"), F.max("date")).first()
+    days = F.sequence(F.lit(a).cast("date"), F.lit(b).cast("date")) if a else F.array().cast("array<date>")
+    known = matrix.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("date", "value"))).alias("on"))  # one entry a day
+    return known.select("feature", "on", F.explode(days).alias("date")).select("date", "feature", F.coalesce(F.try_element_at("on", F.col("date")), F.lit(0.0)).alias("value"))
 
 
 def lagged(matrix: DataFrame) -> DataFrame:

@@ -38,17 +38,19 @@ ENTITIES = {
 NO_FAMILY = "No se detectaron familias relevantes con el diccionario actual."
 
 
-def wide(matches: DataFrame, key: str, articles: DataFrame) -> DataFrame:
-    """Articles with score, activity, hit count and hits of every family (0, false and empty without hits)."""
-    is_ = lambda f: F.col("family") == f
-    aggs = []
-    for f in FAMILIES:
-        aggs += [F.max(F.when(is_(f), F.col("score"))).alias(f"{f}_score"), F.max(F.when(is_(f), F.col("active"))).alias(f"{f}_active"), F.max(F.when(is_(f), F.col("hit_count"))).alias(f"{f}_hit_count"), F.flatten(F.collect_list(F.when(is_(f), F.col("hits")))).alias(f"{f}_hits")]
-    out = articles.join(matches.groupBy(key).agg(*aggs), key, "left")
-    fill = {}
+def wide(articles: DataFrame, hits: str = "hits", active_from: float = 1.0) -> DataFrame:
+    """Articles with score, activity, hit count and hits of every family (0, false and empty without hits), from the column of terms found in them.
+
+    Everything is worked out in the row; nothing is shuffled.
+    """
+    raw = lambda x: x["weight"] * F.log1p(x["occurrences"])
+    new: dict[str, Column] = {}
     for f in FAMILIES:
-        fill |= {f"{f}_score": F.coalesce(f"{f}_score", F.lit(0.0)), f"{f}_active": F.coalesce(f"{f}_active", F.lit(False)), f"{f}_hit_count": F.coalesce(f"{f}_hit_count", F.lit(0)), f"{f}_hits": F.coalesce(f"{f}_hits", F.array().cast("array<string>"))}
-    return out.withColumns(fill)
+        mine = F.filter(hits, lambda x: x["family"] == f)  # noqa: B023
+        total = F.aggregate(mine, F.lit(0.0), lambda a, x: a + raw(x))
+        order = F.array_sort(F.transform(mine, lambda x: F.struct((-F.round(raw(x), 4)).alias("s"), x["position"].alias("p"), x["norm_term"].alias("t"))))
+        new |= {f"{f}_score": F.round(total, 4), f"{f}_active": total >= active_from, f"{f}_hit_count": F.size(mine), f"{f}_hits": F.transform(order, lambda x: x["t"])}
+    return articles.withColumns(new).drop(hits)
 
 
 def section_flags(df: DataFrame, fields: list[str]) -> DataFrame:

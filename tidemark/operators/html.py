@@ -16,7 +16,10 @@ from tidemark.functions.text import text_of
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN = frozenset("script style noscript iframe svg".split())
-UNWANTED = frozenset("script style noscript iframe svg form aside nav footer header".split())
+# What is no part of an article, types that JSON-LD gives an article, and parts of class names of the node that holds it; fixed values.
+UNWANTED = frozenset(("script", "style", "noscript", "iframe", "svg", "form", "button", "aside", "nav", "footer", "header"))
+ARTICLE_TYPES = frozenset(("newsarticle", "article", "reportagearticle"))
+CONTAINER_CLASSES = ("article", "post", "nota")
 MIN_PARAGRAPH, MAX_HEADING = 25, 180
 DOCUMENT = re.compile(r"\.(?:pdf|docx?|xlsx?|pptx?)(?:$|\?)", re.I)
 SHARE = ("facebook.com/sharer", "twitter.com/intent", "x.com/intent", "api.whatsapp.com", "wa.me", "linkedin.com/share", "t.me/share", "mailto:")
@@ -106,12 +109,12 @@ def json_ld(root: Node) -> list[dict]:
     return out
 
 
-def article_ld(items: list[dict], types: tuple[str, ...] = ("NewsArticle", "Article", "ReportageNewsArticle", "OpinionNewsArticle")) -> dict:
-    for wanted in types:
-        for i in items:
-            kinds = i.get("@type")
-            if wanted in (kinds if isinstance(kinds, list) else [kinds]):
-                return i
+def article_ld(items: list[dict], types: frozenset[str] = ARTICLE_TYPES) -> dict:
+    """The first object of one of the types, whatever their case."""
+    for i in items:
+        kinds = i.get("@type")
+        if types & {str(k).lower() for k in (kinds if isinstance(kinds, list) else [kinds])}:
+            return i
     return {}
 
 
@@ -141,8 +144,9 @@ def canonical(root: Node, url: str) -> str:
 
 
 def container(root: Node) -> Node:
-    """The node that holds the article: article, main, a block named so, the body, or all."""
-    for test in (lambda n: n.tag == "article", lambda n: n.tag == "main", lambda n: n.has_class("article-body") or n.has_class("entry-content") or n.has_class("post-content"), lambda n: n.tag == "body"):
+    """The node that holds the article: article, main, a class named after one, the body, or all."""
+    named = [lambda n, c=c: c in n.attrs.get("class", "") for c in CONTAINER_CLASSES]
+    for test in (lambda n: n.tag == "article", lambda n: n.tag == "main", *named, lambda n: n.tag == "body"):
         if found := next((n for n in root.walk() if test(n)), None):
             return found
     return root

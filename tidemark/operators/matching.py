@@ -1,30 +1,78 @@
-"""Dictionary terms in texts: n-grams and an equi-join in place of one regular expression per term and text."""
+"""Dictionary terms in texts: one pass that looks words up among the first words of terms, in place of one regular expression per term and text.
+
+Texts aren't shuffled: the terms found are a column of their row.
+"""
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 from pyspark.sql.window import Window
 
 from tidemark.functions.text import match_term, term_pattern
 
-LARGE = 200_000  # terms up to which the dictionary is broadcast
+MOST = 1_000_000  # terms of a dictionary, at most: every task holds all of them
 WORDS = "a-z0-9_"
-
-
-def ngrams(text: Column, most: int, letters: str = WORDS) -> Column:
-    """All runs of 1 to ``most`` words of a normalised text that only spaces part; neighbours are zipped."""
-    parts = F.filter(F.transform(F.split(text, f"[^{letters}\\s]+"), F.trim), lambda s: s != "")
-
-    def grams(words: Column) -> Column:
-        runs, out = words, [words]
-        for n in range(2, most + 1):
-            left = F.slice(runs, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
-            runs = F.zip_with(left, F.slice(words, n, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
-            out.append(runs)
-        return F.concat(*out)
-
-    return F.flatten(F.transform(F.transform(parts, lambda s: F.split(s, r"\s+")), grams))
+HITS = "family string, norm_term string, occurrences long, weight double, source string, position int"
+
+
+class Finder:
+    """How often each term occurs in a normalised text: whole words, counted as a regular expression would, from left to right without overlap."""
+
+    def __init__(self, terms: list[str], letters: str = WORDS):
+        plain, self.signs = re.compile(f"[{letters} ]+"), re.compile(f"[^{letters}\\s]+")
+        self.single: set[str] = set()
+        self.longer: dict[str, list[list[str]]] = {}
+        self.odd: list[tuple[str, str, re.Pattern]] = []
+        for t in terms:
+            words = t.split()
+            if not plain.fullmatch(t):
+                self.odd.append((t, words[0], re.compile(term_pattern(t))))
+            elif len(words) == 1:
+                self.single.add(t)
+            else:
+                self.longer.setdefault(words[0], []).append(words)
+        self.first = self.single | self.longer.keys()
+
+    def counts(self, text: str) -> Counter:
+        words = self.signs.sub(" . ", text).split()
+        found: Counter = Counter()
+        end: dict[str, int] = {}
+        for i in [i for i, w in enumerate(words) if w in self.first]:
+            if words[i] in self.single:
+                found[words[i]] += 1
+            for term in self.longer.get(words[i], ()):
+                if words[i : i + len(term)] == term and end.get(name := " ".join(term), 0) <= i:
+                    found[name] += 1
+                    end[name] = i + len(term)
+        for term, start, pattern in self.odd:
+            if start in text and (n := len(pattern.findall(text))):
+                found[term] = n
+        return found
+
+
+def matched(text: Column, terms: DataFrame, letters: str = WORDS) -> Column:
+    """The terms that occur in a text, as an array of ``HITS``; null texts have none."""
+    rows = [r.asDict() for r in terms.select("family", "norm_term", "weight", "source", "position").limit(MOST + 1).collect()]
+    if len(rows) > MOST:
+        raise ValueError(f"a dictionary has {MOST} terms at most")
+    by: dict[str, list[dict]] = {}
+    for r in rows:
+        by.setdefault(r["norm_term"], []).append(r)
+
+    @F.pandas_udf(ArrayType(StructType.fromDDL(HITS)))
+    def go(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        finder = Finder(list(by), letters)
+        for s in batches:
+            yield s.map(lambda x: [r | {"occurrences": n} for t, n in finder.counts(x or "").items() for r in by[t]])
+
+    return go(text)
 
 
 def dictionary(spark, terms: dict[str, dict[str, float]], source: str = "") -> DataFrame:
@@ -40,22 +88,8 @@ def dictionary(spark, terms: dict[str, dict[str, float]], source: str = "") -> D
 
 
 def term_counts(df: DataFrame, key: str, text: str, terms: DataFrame, letters: str = WORDS) -> DataFrame:
-    """``key, family, norm_term, weight, source, position, occurrences`` of terms that occur.
-
-    Terms of plain words are joined on their n-grams, which drops all other n-grams before
-    anything is shuffled; the few terms with other signs are counted by pattern.
-    """
-    plain = terms.where(F.col("norm_term").rlike(f"^[{letters} ]+$"))
-    most = terms.agg(F.max("n_words")).first()[0] or 1
-    count = plain.count()
-    side = F.broadcast(plain) if count <= LARGE else plain
-    grams = df.select(key, F.explode(ngrams(F.col(text), most, letters)).alias("norm_term"))
-    out = grams.join(side, "norm_term").groupBy(key, "family", "norm_term").agg(F.count("*").alias("occurrences"), F.max("weight").alias("weight"), F.min("source").alias("source"), F.min("position").alias("position"))
-    odd = terms.where(~F.col("norm_term").rlike(f"^[{letters} ]+$")).collect() if count < terms.count() else []
-    for t in odd:
-        n = F.regexp_count(F.col(text), F.lit(term_pattern(t.norm_term)))
-        out = out.unionByName(df.select(key, F.lit(t.family).alias("family"), F.lit(t.norm_term).alias("norm_term"), n.cast("long").alias("occurrences"), F.lit(t.weight).alias("weight"), F.lit(t.source).alias("source"), F.lit(t.position).alias("position")).where("occurrences > 0"))
-    return out
+    """``key`` and ``HITS``: one row for each term that occurs in a text."""
+    return df.select(key, F.inline(matched(F.col(text), terms, letters)))
 
 
 def family_matches(counts: DataFrame, key: str, active_from: float = 1.0, details: int = 50) -> DataFrame:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+STEPS = 4096
+
+
 def _share(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
@@ -37,12 +40,20 @@ def classification(df: DataFrame, truth: str, guess: str, keys: list[str] = [])
 def auc(df: DataFrame, truth: str, score: str, keys: list[str] = []) -> DataFrame:  # noqa: B006
     """Area under the ROC curve by mid-ranks, exactly; null with one class.
 
-    Rows are summed to distinct scores first, so the running count is over these only.
+    Rows are summed to distinct scores first. Scores are dealt out to ``STEPS`` steps of
+    their range, which keep their order: ranks are counted within a step, and what lies
+    below it is added, so that no task sorts all scores, with keys or without.
     """
     by = df.groupBy(*keys, F.col(score).alias("_score")).agg(F.count("*").alias("_n"), F.count_if(F.col(truth) == 1).alias("_p"))
-    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_score")
-    mid = F.sum("_n").over(w) - F.col("_n") + (F.col("_n") + 1) / 2
-    s = by.withColumn("_mid", mid).groupBy(*keys).agg(F.sum(F.col("_mid") * F.col("_p")).alias("r"), F.sum("_p").alias("np"), F.sum("_n").alias("na"))
+    low, high = by.agg(F.min("_score"), F.max("_score")).first()
+    width = (high - low) / STEPS if low is not None and high > low else 1.0
+    step = F.least(F.lit(STEPS - 1), F.floor((F.col("_score") - F.lit(low or 0.0)) / F.lit(width))).cast("int")
+    by = by.withColumn("_step", F.coalesce(step, F.lit(-1)))
+    within = Window.partitionBy(*keys, "_step").orderBy("_score")
+    steps = by.groupBy(*keys, "_step").agg(F.sum("_n").alias("_all"))  # at most STEPS + 1 rows for each key
+    steps = steps.select(*keys, "_step", (F.sum("_all").over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_step")) - F.col("_all")).alias("_below"))
+    mid = F.col("_below") + F.sum("_n").over(within) - F.col("_n") + (F.col("_n") + 1) / 2
+    s = by.join(steps, [*keys, "_step"]).withColumn("_mid", mid).groupBy(*keys).agg(F.sum(F.col("_mid") * F.col("_p")).alias("r"), F.sum("_p").alias("np"), F.sum("_n").alias("na"))
     p, q = F.col("np"), F.col("na") - F.col("np")
     return s.select(*keys, F.try_divide(F.col("r") - p * (p + 1) / 2, (p * q).cast("double")).alias("roc_auc"))
 

@@ -84,7 +84,7 @@ def family_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir).select("doc_id", "source", "lang", "t")
-    df = enrich.wide(matching.family_matches(_counts(spark, sf_dir), "doc_id"), "doc_id", docs)
+    df = enrich.wide(docs.withColumn("hits", matching.matched(F.col("t"), matching.dictionary(spark, DEMO, "demo"))))
     df = enrich.section_flags(df.withColumn("section", F.when(F.col("lang") == "de", "Deportes").when(F.col("lang") == "es", "Economía").when(F.col("lang") == "fr", "Mundo").otherwise("policial")), ["section"])
     return enrich.impact(enrich.general_flags(df))
 
