@@ -75,13 +75,13 @@ def matched(text: Column, terms: DataFrame, letters: str = WORDS) -> Column:
     return go(text)
 
 
-def dictionary(spark, terms: dict[str, dict[str, float]], source: str = "") -> DataFrame:
-    """``family, term, norm_term, weight, source, n_words, position``: best weight of each normal form, first of equals."""
+def dictionary(spark, terms: dict[str, dict[str, float]], source: str = "", least: int = 3) -> DataFrame:
+    """``family, term, norm_term, weight, source, n_words, position``: best weight of each normal form of ``least`` signs or more, first of equals."""
     rows: dict[tuple[str, str], tuple] = {}
     for family, found in terms.items():
         for k, (term, weight) in enumerate(found.items()):
             norm = match_term(term)
-            if len(norm) >= 3 and ((family, norm) not in rows or weight > rows[family, norm][3]):
+            if len(norm) >= least and ((family, norm) not in rows or weight > rows[family, norm][3]):
                 rows[family, norm] = (family, term, norm, float(weight), source, len(norm.split()), k)
     ordered = sorted(rows.values(), key=lambda r: (r[0], -r[5], -r[3], r[1]), reverse=False)
     return spark.createDataFrame([(*r[:6], i) for i, r in enumerate(ordered)], "family string, term string, norm_term string, weight double, source string, n_words int, position int")

@@ -153,15 +153,16 @@ def seed_rules(h: DataFrame) -> DataFrame:
 
     Needs the arrays market, fiscal, company, commodity, political, geopolitical, noise,
     ambiguous, market_context, amount, amount_context, energy_word, energy_context,
-    gas_strong, gas_weak, hard_event, direct_context, support_context.
+    gas_word (if gas isn't among the commodities), gas_strong, gas_weak, hard_event, direct_context, support_context.
     """
     any_ = lambda c: F.size(c) > 0
+    gas = F.array_contains("commodity", "gas") | (any_("gas_word") if "gas_word" in h.columns else F.lit(False))
     h = h.withColumns(
         {
             "has_market_context": any_("market_context"),
             "has_amount_context": any_("amount") & any_("amount_context"),
             "has_energy_market_context": any_("energy_word") & any_("energy_context"),
-            "has_geopolitical_gas_context": F.array_contains("commodity", "gas") & (any_("gas_strong") | (any_("gas_weak") & any_("direct_context"))),
+            "has_geopolitical_gas_context": gas & (any_("gas_strong") | (any_("gas_weak") & any_("direct_context"))),
         }
     )
     hard = F.size("hard_event")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,15 +46,26 @@ def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learning.ranked(scored.withColumn("score", metrics.model_score("balanced_accuracy")))
 
 
+def _keys(spark: SparkSession, sf_dir: str) -> list[str]:
+    return [r.fund_key for r in funds(spark, sf_dir).select("fund_key").distinct().orderBy("fund_key").collect()]
+
+
 def gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = series.with_target(series.features(funds(spark, sf_dir).where("fund_key = '1-URGENT'"), KEYS), KEYS, 5, 0.0)
-    return learning.importance(_data(spark, sf_dir), learning.Experiment("1-URGENT", params=FEW), SPLITS, scenarios.feature_columns(f))
+    """What each fund's model looks at."""
+    data, names = _data(spark, sf_dir), scenarios.feature_columns(series.with_target(series.features(funds(spark, sf_dir), KEYS), KEYS, 5, 0.0))
+    every = [learning.importance(data, learning.Experiment(k, params=FEW), SPLITS, names).withColumn("fund_key", F.lit(k)) for k in _keys(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, every)
 
 
 def tpe_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = learning.Search({"probability": (0.3, 0.7), "target": (0.0, 0.1)}, start=4)
-    h = learning.search_thresholds(_data(spark, sf_dir), "1-URGENT", s, SPLITS, 8, batch=4, params=FEW)
-    return spark.createDataFrame([(k, float(t["probability"]), float(t["target"]), float(v)) for k, (t, v) in enumerate(h)], "trial int, probability double, target double, score double")
+    """Eight trials of thresholds for each fund."""
+    data, rows = _data(spark, sf_dir).cache(), []
+    for fund in _keys(spark, sf_dir):
+        s = learning.Search({"probability": (0.3, 0.7), "target": (0.0, 0.1)}, start=4)
+        h = learning.search_thresholds(data, fund, s, SPLITS, 8, batch=4, params=FEW)
+        rows += [(fund, k, float(t["probability"]), float(t["target"]), float(v)) for k, (t, v) in enumerate(h)]
+    data.unpersist()
+    return spark.createDataFrame(rows, "fund_key string, trial int, probability double, target double, score double")
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:

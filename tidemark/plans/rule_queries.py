@@ -25,6 +25,7 @@ from tidemark.plans.learning_queries import _folder
 from tidemark.plans.series_queries import funds, read
 from tidemark.sources import dictionaries, news, pages
 from tidemark.sources import funds as fund_files_
+from tidemark.sources.seeds import CLASS_SEEDS
 from tidemark.streaming import news as stream
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,6 +309,26 @@ def seed_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "family", "active", "score", "hit_count", F.array_join(F.array_sort("hits"), ",").alias("hits"))
 
 
+def seed_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The production seed sets and class rules over Spanish sentences; texts without hits stay."""
+    d = read(spark, sf_dir, "documents").select("doc_id", F.element_at(F.array(*map(F.lit, SENTENCES)), (F.col("doc_id") % len(SENTENCES) + 1).cast("int")).alias("s"))
+    d = d.withColumn("t", T.match_text("s", exact=True))
+    terms = matching.dictionary(spark, {f: dict.fromkeys(ts, 1.0) for f, ts in CLASS_SEEDS.items()}, least=1)
+    h = matching.seed_hits(d, matching.term_counts(d, "doc_id", "t", terms), "doc_id", list(CLASS_SEEDS))
+    c = mining.seed_rules(h)
+    return c.select("doc_id", F.array_join("market", ",").alias("market"), F.array_join("hard_event", ",").alias("hard_event"), "strict_score", "is_financial_strict", "is_political_risk", "is_geopolitical_market", "is_social_noise_dominant")
+
+
+# By sentence: market, hard events, strict score and the four classes.
+_CLASSES = (
+    (0, "banco_central,inflacion,tasa_de_interes", "", 9, "true", "false", "false", "false"),
+    (1, "", "", 12, "true", "false", "false", "false"),
+    (2, "", "aranceles,guerra", 0, "false", "false", "true", "false"),
+    (3, "", "", 0, "false", "false", "false", "false"),
+    (4, "recesion", "", 6, "true", "false", "true", "false"),
+    (5, "", "", 0, "false", "false", "false", "false"),
+)
+
 _FOUND = (  # by sentence: family, terms, total weight of terms that occur once
     (0, "mercado_financiero", "banco_central,inflacion,tasa_de_interes", (3.0, 2.5, 2.5)),
     (0, "empresas_instituciones", "banco_central", (2.0,)),
@@ -425,7 +446,7 @@ QUERIES = {
         text_spaces, text_strip_html, text_prose, text_deep, text_templates, text_site_phrases, text_slug, text_paragraphs, article_normalised, article_texts,
         url_articles, url_named_sections, dates_publication, dates_user, dates_ranges, dates_allowed, listing_scan, sitemap_scan,
         editorial_exclusion, record_counts, day_mismatch, bad_terms, entity_aliases, corpus_samples, enrich_unchanged, fund_latest_day, common_day_of_all,
-        news_files, news_days_stored, fund_files, dictionary_files, dictionary_seeds, seed_families, report_files,
+        news_files, news_days_stored, fund_files, dictionary_files, dictionary_seeds, seed_families, seed_classes, report_files,
         feature_selection, split_percent, scenario_labels, experiment_keys, config_runtime, confusion_text, load_days, run_state, stream_rebuild,
     )
 }
@@ -496,6 +517,7 @@ ORACLE_SQL = {
     "stream_rebuild": "SELECT 0 AS round, count(*) AS rows, sum(length(text))::BIGINT AS chars FROM documents UNION ALL SELECT 1, count(*) FILTER (text <> 'new'), (3 * count(*) FILTER (text <> 'new'))::BIGINT FROM documents WHERE doc_id % 4 = 0",
 }
 ORACLE_SQL |= {
+    "seed_classes": "SELECT doc_id, market, hard_event, strict_score, f::BOOLEAN AS is_financial_strict, p::BOOLEAN AS is_political_risk, g::BOOLEAN AS is_geopolitical_market, n::BOOLEAN AS is_social_noise_dominant FROM documents JOIN (" + _values(_CLASSES, "k, market, hard_event, strict_score, f, p, g, n") + f") c ON doc_id % {len(SENTENCES)} = k",
     "seed_families": "WITH f(k, family, hits, hit_count, raw) AS (" + " UNION ALL ".join(f"SELECT {k}, '{f}', '{n}', {len(w)}, ln(2.0) * ({' + '.join(map(str, w))})" for k, f, n, w in _FOUND) + f") SELECT doc_id, family, raw >= 1.0 AS active, round(raw, 4) AS score, hit_count::INT AS hit_count, hits FROM documents JOIN f ON doc_id % {len(SENTENCES)} = k",
     "experiment_keys": _values([("fund.a", 0.0, "fundpa_night_partial_prob0p500_target0p0000"), ("fund.a", 0.0125, "fundpa_night_partial_prob0p512_target0p0125"), ("b", 0.0, "b_night_partial_prob0p500_target0p0000"), ("b", 0.0125, "b_night_partial_prob0p512_target0p0125")], "fund, target, key"),
 }

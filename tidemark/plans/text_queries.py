@@ -372,6 +372,8 @@ SELECT page_id, 'https://' || regexp_replace(regexp_replace(lower(p.host), ':\d*
     "discovery_merge": f"WITH {_COPIES}, s AS (SELECT key, source, min(doc_id) AS o FROM x GROUP BY 1, 2), l AS (SELECT key, string_agg(source, ',' ORDER BY o) AS sources FROM s GROUP BY 1) SELECT key AS url, 't' || min(doc_id) FILTER (doc_id % 2 = 0) AS title, bool_or(n_chars > 9000) AS featured, any_value(sources) AS sources FROM x JOIN l USING (key) GROUP BY 1",
     "html_paragraphs_regex": f"WITH {_BODY} SELECT page_id, len(p)::INT AS n_paragraphs, md5(coalesce(array_to_string(p, chr(10)), '')) AS body_md5 FROM q",
     "html_links_regex": "SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*href=\"([^\"#]+)[\"#]', 1)) AS href FROM pages",
+    # wrongly decoded letters up to U+00FF show a sign, so the text comes back; other letters show none
+    "mojibake_repair": "SELECT doc_id, regexp_matches(text, '[\\x{80}-\\x{FF}]') OR NOT regexp_matches(text, '[^\\x00-\\x7F]') AS same FROM documents",
     "entities_heuristic": "WITH e AS (SELECT lower(unnest(regexp_extract_all(text, '(\\p{Lu}[\\p{L}]+(?: \\p{Lu}[\\p{L}]+)*)', 1))) AS entity FROM documents) SELECT entity, count(*) AS n FROM e WHERE length(entity) >= 3 GROUP BY 1 ORDER BY n DESC, entity LIMIT 300",
     "article_kind": f"WITH {_BODY}, v AS (SELECT page_id, lower(url || ' ' || left(array_to_string(p, chr(10)), 500)) AS v, lower(array_to_string(p, chr(10))) AS h FROM q JOIN pages USING (page_id)) SELECT page_id, CASE " + " ".join(f"WHEN {' OR '.join(f'contains(v, {p!r})' for p in parts)} THEN '{n}'" for n, parts in editorial.KINDS["dated"] if parts) + " ELSE 'news' END AS kind, CASE " + " ".join(f"WHEN contains(h, '{a}') THEN '{a}'" for a in editorial.AGENCIES) + " ELSE '' END AS agency FROM v",
 }

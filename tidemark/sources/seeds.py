@@ -63,3 +63,55 @@ ALIASES = {
     "noise": "ruido_social",
     "social_noise": "ruido_social",
 }
+# Seed sets of the classes of articles, fixed values; a term is given once, with its accents.
+CLASS_SEEDS: dict[str, tuple[str, ...]] = {
+    "market": (
+        "banco_central", "cmf", "mercado_financiero", "renta_fija", "renta_variable", "wall_street", "dólar", "tipo_de_cambio", "tasa_de_interes", "ipc", "inflación", "imacec",
+        "actividad_economica", "recesión", "recesion_tecnica", "tpm", "politica_monetaria", "tasa_desempleo", "tasa_desocupacion", "mercado_laboral", "bolsa_valores", "bolsa_santiago",
+        "bolsa_electronica_chile", "mercado_bursatil", "bonos_tesoro_eeuu", "bonos_soberanos", "bonos_corporativos", "dow_jones", "nasdaq", "nasdaq_100", "sp500", "reserva_federal", "fed",
+    ),
+    "fiscal": (
+        "hacienda", "ministerio de hacienda", "ministro de hacienda", "presupuesto", "déficit fiscal", "gasto fiscal", "política fiscal", "subsidio eléctrico", "recursos públicos",
+        "ley_presupuestos", "deuda_publica", "balance_fiscal", "regla_fiscal", "recaudacion_tributaria",
+    ),
+    "company": (
+        "codelco", "enap", "sqm", "cap", "copec", "falabella", "cencosud", "banco de chile", "bci", "santander", "itaú", "bhp", "escondida", "minera escondida", "centinela", "minera centinela",
+        "antofagasta minerals", "bancoestado", "banco estado", "banco ripley", "spacex",
+    ),
+    "commodity": ("cobre", "litio", "petróleo", "minería", "opep", "gas natural", "gas_natural", "gas licuado", "gas_licuado", "gasolina", "gasolinas", "brent", "wti", "petroleo_brent", "petroleo_wti"),
+    "political": ("gobierno", "presidente", "ministerio", "ministro", "ley", "proyecto", "congreso", "ejecutivo", "regulación", "reforma", "impuestos", "tributaria", "fiscalización", "sanción"),
+    "geopolitical": ("estados unidos", "trump", "china", "irán", "israel", "rusia", "ucrania", "guerra", "conflicto", "estrecho de ormuz", "otan", "onu", "casa blanca"),
+    "noise": ("carabineros", "pdi", "fiscalía", "ministerio público", "prisión preventiva", "detención", "delito", "homicidio", "víctima", "policía"),
+    "ambiguous": ("acciones", "capital", "mercado", "empresa", "empresas", "bolsa", "bonos"),
+    "amount": ("millones", "miles", "pesos", "dólares", "usd", "uf", "$", "mil", "mil millones", "billón", "billones", "us$"),
+    "amount_context": (
+        "hacienda", "ministerio_de_hacienda", "ministro_de_hacienda", "presupuesto", "deficit_fiscal", "gasto_fiscal", "politica_fiscal", "subsidio_electrico", "recursos_publicos", "banco_central",
+        "mercado_financiero", "wall_street", "bolsa", "bonos", "renta_fija", "renta_variable", "ipc", "inflación", "tasa_de_interes", "tipo_de_cambio", "codelco", "enap", "sqm", "cap", "copec",
+        "falabella", "cencosud", "ingresos", "utilidades", "ganancias", "pérdidas", "deuda", "financiamiento", "inversión", "cobre", "litio", "petróleo", "gas", "iva", "sii", "deuda_publica",
+        "recaudacion_tributaria", "balance_fiscal",
+    ),
+    "market_context": (
+        "bolsa", "wall_street", "renta_variable", "mercado_financiero", "inversionistas", "bursátil", "índice", "acciones chilenas", "acciones_chilenas", "acciones bursátiles", "acciones_bursatiles",
+        "dow_jones", "nasdaq", "nasdaq_100", "sp500", "bonos_tesoro_eeuu", "bonos_soberanos", "bonos_corporativos", "reserva_federal", "fed", "mercado_bursatil", "bolsa_santiago", "bolsa_valores",
+    ),
+    "energy_word": ("energía",),
+    "energy_context": (
+        "eléctrico", "eléctrica", "tarifa", "tarifas", "tarifario", "subsidio_electrico", "generación eléctrica", "transmisión eléctrica", "distribución eléctrica", "enap", "petróleo", "gas",
+        "combustible", "combustibles", "bencina", "diésel", "opep",
+    ),
+    "gas_word": ("gas",),
+    "gas_strong": (
+        "rusia", "ucrania", "irán", "israel", "china", "estados_unidos", "donald_trump", "sanciones económicas", "sanciones comerciales", "sanciones financieras", "sanciones internacionales", "opep",
+        "estrecho_de_ormuz",
+    ),
+    "gas_weak": ("guerra", "conflicto"),
+    "hard_event": (
+        "irán", "israel", "rusia", "ucrania", "guerra", "conflicto", "estrecho_de_ormuz", "aranceles", "ataque", "ataques", "tensión", "tensiones", "bloqueo", "alto al fuego", "misil", "misiles",
+        "represalia", "represalias",
+    ),
+    "direct_context": (
+        "petróleo", "opep", "estrecho_de_ormuz", "aranceles", "sanciones económicas", "sanciones comerciales", "sanciones financieras", "sanciones internacionales", "exportaciones", "importaciones",
+        "cadena de suministro", "wall_street", "bolsa", "dólar", "tipo_de_cambio",
+    ),
+    "support_context": ("precios", "comercio", "mercado", "dólares", "millones", "sanciones"),
+}
