@@ -8,9 +8,12 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.functions.text import text_of
 
@@ -18,28 +21,34 @@ MARKED = "a-záéíóúñü0-9_"  # word signs of mining, accents kept
 
 
 # A word of mining: a letter, then at least two letters, digits, hyphens or underscores, between word boundaries; fixed value.
-TOKEN = r"(?U)\b[a-záéíóúñü][a-záéíóúñü0-9_\-]{2,}\b"
+TOKEN = r"\b[a-záéíóúñü][a-záéíóúñü0-9_\-]{2,}\b"
 
 
-def tokens(text: Column, stop: list[str] = [], pattern: str = TOKEN) -> Column:  # noqa: B006
-    """Words of a lower-case text that the pattern meets, stop words out before n-grams are made."""
-    t = F.regexp_extract_all(F.lower(text), F.lit(pattern), 0)
-    return F.filter(t, lambda x: ~x.isin(stop)) if stop else t
-
-
-def grams(tokens_: Column, most: int = 3) -> Column:
-    """Runs of 1 to ``most`` tokens; neighbours are zipped, so the tokens aren't worked out again for each run."""
-    runs, out = tokens_, [tokens_]
-    for n in range(2, most + 1):
-        following = F.slice(tokens_, n, F.greatest(F.size(tokens_), F.lit(0)))
-        runs = F.zip_with(F.slice(runs, 1, F.greatest(F.size(tokens_) - (n - 1), F.lit(0))), following, lambda a, b: F.concat(a, F.lit(" "), b))
-        out.append(runs)
-    return F.concat(*out)
+def grams(text: str, most: int = 3, stop: frozenset[str] = frozenset(), pattern: re.Pattern = re.compile(TOKEN)) -> Counter:
+    """Runs of 1 to ``most`` words of a text and how often each occurs; stop words go before runs are made."""
+    words = [w for w in pattern.findall(text.lower()) if w not in stop]
+    found = Counter(words)
+    runs = words
+    for n in range(1, most):
+        runs = [f"{a} {b}" for a, b in zip(runs, words[n:])]
+        found.update(runs)
+    return found
 
 
 def gram_counts(docs: DataFrame, key: str, text: str, most: int = 3, stop: list[str] = []) -> DataFrame:  # noqa: B006
-    """``key, term, tf``."""
-    return docs.select(key, F.explode(grams(tokens(F.col(text), stop), most)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    """``key, term, tf``, counted within each row: rows are documents, and nothing is shuffled."""
+    out = frozenset(stop)
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 200):
+                part = b.slice(k, 200)
+                found = [grams(t or "", most, out) for t in part.column(1).to_pylist()]
+                at = np.repeat(np.arange(part.num_rows), [len(c) for c in found])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at)), pa.array([t for c in found for t in c], pa.string()), pa.array([n for c in found for n in c.values()], pa.int64())], [key, "term", "tf"])
+
+    rows = docs.select(key, text)
+    return rows.mapInArrow(go, StructType([rows.schema[key], StructField("term", StringType()), StructField("tf", LongType())]))
 
 
 def ngram_table(counts: DataFrame, total: int, min_df: int = 5, max_df: float = 0.6, top: int | None = 2000) -> DataFrame:

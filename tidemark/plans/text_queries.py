@@ -14,6 +14,7 @@ from tidemark.functions import text as T
 from tidemark.functions import urls as U
 from tidemark.operators import calendars, daily, editorial, enrich, html, identity, matching, mining
 from tidemark.plans.series_queries import read, shown
+from tidemark.session import spread
 
 # A demonstration dictionary: two or three terms for each family.
 DEMO = {
@@ -33,7 +34,7 @@ NORMED = f"n AS (SELECT doc_id, source, {NORM} AS t FROM documents)"
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").withColumn("t", T.match_text("text", {}))
+    return spread(read(spark, sf_dir, "documents")).withColumn("t", T.match_text("text", {}))
 
 
 def text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +181,7 @@ def news_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    d = read(spark, sf_dir, "documents")
+    d = spread(read(spark, sf_dir, "documents"))
     return mining.gram_counts(d, "doc_id", "text", stop=["the", "and"]), d.count()
 
 
@@ -312,7 +313,7 @@ def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keywords_yake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mining.keyword_table(mining.keywords(read(spark, sf_dir, "documents"), "doc_id", "text"))
+    return mining.keyword_table(mining.keywords(spread(read(spark, sf_dir, "documents")), "doc_id", "text"))
 
 
 def entities_heuristic(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TIMEZONE = "America/Santiago"
 
@@ -20,3 +20,9 @@ def session(app: str = "tidemark", **conf: str) -> SparkSession:
     for k, v in (defaults | {k.replace("__", "."): v for k, v in conf.items()}).items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores where a table has fewer partitions than that, as one small file has; larger tables stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
