@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import ann, bpe, chat, lattice, licenses, mixing, pii, repeats, simhash, toxicity
 from tidemark.llm.common import table
+from tidemark.session import spread
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+    return simhash.simhash_components(spread(table(spark, sf_dir, "documents")))
 
 
 def op1_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +24,11 @@ def op2_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
 
 def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pii_spans(table(spark, sf_dir, "documents"))
+    return pii.pii_spans(spread(table(spark, sf_dir, "documents")))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +40,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.bpe_query(spark, table(spark, sf_dir, "documents"))
+    return bpe.bpe_query(spark, spread(table(spark, sf_dir, "documents")))
 
 
 def op9_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def op9_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.repeats(table(spark, sf_dir, "documents"))
+    return repeats.repeats(spread(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
