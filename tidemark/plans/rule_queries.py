@@ -279,6 +279,42 @@ def fund_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("RUN_FM", "SERIE", "date", "valor_cuota", "PATRIMONIO_NETO")
 
 
+def fund_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a fund's folder and of folders named after its number."""
+    base = _folder(spark)
+    for r in read(spark, sf_dir, "region").collect():
+        for folder in ("8305_own", f"8305_{r.r_regionkey}", f"9936_{r.r_regionkey}"):
+            _put(spark, f"{base}/{folder}/{r.r_name.lower().replace(' ', '-')}.txt", b"x")
+        _put(spark, f"{base}/8305_own/{r.r_regionkey}.csv", b"x")
+    found = [p.split("/")[-2:] for p in fund_files_.discover(spark, base, "8305_own", "8305")]
+    return spark.createDataFrame([tuple(p) for p in found], "folder string, file string")
+
+
+def response_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = read(spark, sf_dir, "nation").collect()
+    rows = [(r.n_nationkey, fund_files_.response_name(f"{r.n_nationkey}_fondo", "01/02/2024", "03/03/2024", ("", 'attachment; filename="a b.txt"', "attachment; filename=c.txt")[r.n_nationkey % 3], frozenset({"7_fondo_a b.txt"}))) for r in n]
+    return spark.createDataFrame(rows, "n_nationkey long, name string")
+
+
+def normalised_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file changed in place twice, and as a sibling; the backup stays the original, a broken file stays as it is."""
+    base, n = _folder(spark), read(spark, sf_dir, "nation").count()
+    path = f"{base}/noticias_dia.txt"
+    _put(spark, path, json.dumps({"n": n}).encode())
+    _put(spark, f"{base}/broken.txt", b"{")
+    more = lambda p: {"n": p["n"] + 1}
+    written = [news.rewrite_file(spark, path, more), news.rewrite_file(spark, path, more), news.rewrite_file(spark, path, more, overwrite=False), news.rewrite_file(spark, f"{base}/broken.txt", more)]
+    rows = [(name, spark.read.text(f"{base}/{name}", wholetext=True).select(F.get_json_object("value", "$.n").cast("long")).first()[0]) for name in ("noticias_dia.txt", "noticias_dia.txt.bak", "noticias_dia_normalizado.txt")]
+    return spark.createDataFrame([*rows, ("refused", sum(w is None for w in written))], "file string, n long")
+
+
+def term_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first terms of a nested report of parts, with how often each occurs."""
+    parts = read(spark, sf_dir, "part").groupBy("p_brand").agg(F.sum("p_size").alias("n")).orderBy("p_brand").collect()
+    report = {"a": [{"term": r.p_brand, "count": r.n * 100, "more": {"token": f"{r.p_brand}x", "frecuencia": 0.4}} for r in parts], "b": {"term": "late", "count": 1}}
+    return spark.createDataFrame([(k, t, n) for k, (t, n) in enumerate(dictionaries.preview(report))], "place int, term string, n string")
+
+
 def dictionary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionaries of all kinds of files, in one order; the weights of terms given twice, the families of names."""
     with tempfile.TemporaryDirectory() as folder:  # read on the driver alone
@@ -446,7 +482,7 @@ QUERIES = {
         text_spaces, text_strip_html, text_prose, text_deep, text_templates, text_site_phrases, text_slug, text_paragraphs, article_normalised, article_texts,
         url_articles, url_named_sections, dates_publication, dates_user, dates_ranges, dates_allowed, listing_scan, sitemap_scan,
         editorial_exclusion, record_counts, day_mismatch, bad_terms, entity_aliases, corpus_samples, enrich_unchanged, fund_latest_day, common_day_of_all,
-        news_files, news_days_stored, fund_files, dictionary_files, dictionary_seeds, seed_families, seed_classes, report_files,
+        news_files, news_days_stored, fund_files, fund_discovery, response_names, normalised_files, term_preview, dictionary_files, dictionary_seeds, seed_families, seed_classes, report_files,
         feature_selection, split_percent, scenario_labels, experiment_keys, config_runtime, confusion_text, load_days, run_state, stream_rebuild,
     )
 }
@@ -517,6 +553,10 @@ ORACLE_SQL = {
     "stream_rebuild": "SELECT 0 AS round, count(*) AS rows, sum(length(text))::BIGINT AS chars FROM documents UNION ALL SELECT 1, count(*) FILTER (text <> 'new'), (3 * count(*) FILTER (text <> 'new'))::BIGINT FROM documents WHERE doc_id % 4 = 0",
 }
 ORACLE_SQL |= {
+    "term_preview": "WITH g AS (SELECT p_brand, sum(p_size) * 100 AS n FROM part GROUP BY p_brand), b AS (SELECT p_brand, n, row_number() OVER (ORDER BY p_brand) AS r FROM g) SELECT (2 * r - 2)::INT AS place, p_brand AS term, replace(format('{:,}', n::BIGINT), ',', '.') AS n FROM b WHERE r <= 10 UNION ALL SELECT (2 * r - 1)::INT, p_brand || 'x', '0' FROM b WHERE r <= 10",
+    "fund_discovery": "SELECT f AS folder, lower(replace(r_name, ' ', '-')) || '.txt' AS file FROM region, (VALUES ('own'), ('own number')) t(k), (SELECT CASE WHEN k = 'own' THEN '8305_own' ELSE '8305_' || r_regionkey END AS f) x",
+    "response_names": "SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 2 THEN n_nationkey || '_fondo_c.txt' WHEN n_nationkey % 3 = 1 AND n_nationkey <> 7 THEN n_nationkey || '_fondo_a b.txt' ELSE 'cmf_' || n_nationkey || '_fondo_01-02-2024_03-03-2024.txt' END AS name FROM nation",
+    "normalised_files": "SELECT f AS file, CASE WHEN f = 'refused' THEN 1 ELSE n + d END::BIGINT AS n FROM (SELECT count(*) AS n FROM nation), (VALUES ('noticias_dia.txt', 2), ('noticias_dia.txt.bak', 0), ('noticias_dia_normalizado.txt', 3), ('refused', 0)) t(f, d)",
     "seed_classes": "SELECT doc_id, market, hard_event, strict_score, f::BOOLEAN AS is_financial_strict, p::BOOLEAN AS is_political_risk, g::BOOLEAN AS is_geopolitical_market, n::BOOLEAN AS is_social_noise_dominant FROM documents JOIN (" + _values(_CLASSES, "k, market, hard_event, strict_score, f, p, g, n") + f") c ON doc_id % {len(SENTENCES)} = k",
     "seed_families": "WITH f(k, family, hits, hit_count, raw) AS (" + " UNION ALL ".join(f"SELECT {k}, '{f}', '{n}', {len(w)}, ln(2.0) * ({' + '.join(map(str, w))})" for k, f, n, w in _FOUND) + f") SELECT doc_id, family, raw >= 1.0 AS active, round(raw, 4) AS score, hit_count::INT AS hit_count, hits FROM documents JOIN f ON doc_id % {len(SENTENCES)} = k",
     "experiment_keys": _values([("fund.a", 0.0, "fundpa_night_partial_prob0p500_target0p0000"), ("fund.a", 0.0125, "fundpa_night_partial_prob0p512_target0p0125"), ("b", 0.0, "b_night_partial_prob0p500_target0p0000"), ("b", 0.0125, "b_night_partial_prob0p512_target0p0125")], "fund, target, key"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +19,23 @@ COLUMNS = (
 NUMERIC = tuple("CUOTAS_APORTADAS CUOTAS_RESCATADAS CUOTAS_EN_CIRCULACION PATRIMONIO_NETO ACTIVO_TOT NUM_PARTICIPES".split())
 
 
+def discover(spark: SparkSession, base: str, folder: str, run_fm: str) -> list[str]:
+    """Text files of a fund's own folder and of every folder named after its number, each once, in order."""
+    found: set[str] = set()
+    for pattern in (f"{base}/{folder}/*.txt", f"{base}/{run_fm}_*/*.txt"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        found.update(f.getPath().toString() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or [])
+    return sorted(found)
+
+
+def response_name(fund: str, start: str, end: str, disposition: str = "", taken: frozenset[str] = frozenset()) -> str:
+    """What a downloaded file is called: the name it was sent under after the fund's, or fund and range if it has none or that one is taken."""
+    plain = f"cmf_{fund}_{re.sub('[^0-9]', '-', start)}_{re.sub('[^0-9]', '-', end)}.txt"
+    sent = re.search(r'filename="?([^"]+)"?', disposition)
+    name = f"{fund}_{sent[1].strip()}" if sent else plain
+    return plain if name in taken else name
+
+
 def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """All files of all paths as text columns with ``file`` and ``line``; columns that a file lacks are null.
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def articles(files: DataFrame) -> DataFrame:
 
 def read_articles(spark: SparkSession, path: str, article: StructType) -> DataFrame:
     """Articles of a file that is a list of them or an object that holds the list."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     listed = F.from_json("value", ArrayType(article))
     held = F.from_json("value", StructType().add("articles", ArrayType(article)))["articles"]
     return whole.select(F.posexplode(F.when(F.ltrim("value").startswith("["), listed).otherwise(held)).alias("position", "article"))
@@ -86,6 +87,38 @@ def write_days(df: DataFrame, path: str, key: str, medium: str = "medium", day:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(medium, day).parquet(path)
 
 
+def rewrite_file(spark: SparkSession, path: str, change: Callable[[dict], dict], overwrite: bool = True, name: str | None = None) -> str | None:
+    """A day's file with its payload changed, in place or as a sibling (``_normalizado`` before the suffix, or ``name``).
+
+    The first time, the file is copied to ``.bak``, and never again, so that the backup is
+    the original. Returns where it was written; null, and nothing is written, if the file
+    can't be read or changed.
+    """
+    jvm = spark._jvm
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
+    fs = source.getFileSystem(conf)
+    try:
+        text = spark.read.text(path, wholetext=True).first()[0]
+        changed = json.dumps(change(json.loads(text)), ensure_ascii=False, indent=2)
+    except Exception as e:  # noqa: BLE001  one broken file must not stop the others
+        print(f"{path} passed over: {str(e)[:200]}")
+        return None
+    backup = jvm.org.apache.hadoop.fs.Path(f"{path}.bak")
+    if not fs.exists(backup):
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, backup, False, conf)
+    folder, _, file = path.rpartition("/")
+    stem, dot, end = file.rpartition(".")
+    sibling = name or (f"{stem}_normalizado.{end}" if dot else f"{file}_normalizado")
+    if not overwrite and sibling == file:
+        raise ValueError("the sibling needs a name of its own")
+    target = path if overwrite else f"{folder}/{sibling}"
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(target), True)
+    out.write(bytearray(changed.encode("utf-8")))
+    out.close()
+    return target
+
+
 def day_exists(spark: SparkSession, path: str, medium: str, day: object) -> bool:
     return bool(existing(spark, [f"{path}/medium={medium}/day={day}/*"]))
 
